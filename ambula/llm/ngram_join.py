@@ -7,11 +7,12 @@ The join is exact. Equal sets are one class at once. For the others:
    signature, and linked sets share one. The number of parts follows the class of the smaller size; a set near the
    lower end of its class also gives the signatures of the class below. Where a part is empty, a set gives signatures
    of that part's number with each of its shingles of least hash instead (linked sets share one of these).
-2. Of the sets with a common signature each is compared with the least one only, and components are formed. Documents
-   of a component are the groups, in blocks of at most BLOCK.
-3. Token-group matrix: each block has the union of its members' shingles. A set with a signature in common with a block
-   of another component can only link to it if its overlap with the union is large enough for the block's smallest
-   member; only such blocks are opened, and the set is compared with their members.
+2. Of the sets with a common signature each is compared with the least one, its leader, and components are formed.
+3. Token-group matrix: sets with a common leader are one group, in blocks of at most BLOCK, so any two sets with a common
+   signature are in some group together. Groups of one component are done. In the others each block has the union of its
+   members' shingles as rows of a matrix with the members as columns. A set can only link to a block if its overlap
+   with the union is large enough for the block's smallest member; only then the block is opened, and the rows of
+   the set's shingles are added up to its overlaps with all members.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -30,7 +32,7 @@ from ambula.stages import write_stage
 
 SHINGLE = 3
 RATIO = 90  # of 100
-BLOCK = 64
+BLOCK = 256
 #: Sizes below this link with equal sets only: 8 of 9 shingles are under 0.9.
 LEAST = 9
 GROWTH = 1.25
@@ -155,6 +157,48 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["doc_id", "grams"])
 
 
+class TokenGroup:
+    """The token-group matrix of a block, by rows: for each shingle of the union the members that hold it."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        grams = np.concatenate(sets)
+        order = np.argsort(grams, kind="stable")
+        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.union, first = np.unique(grams[order], return_index=True)
+        self.first = np.append(first, len(grams))
+
+    def overlaps(self, s: np.ndarray) -> np.ndarray | None:
+        """How many shingles each member has in common with a sorted set; None if the union shows that none links."""
+        at = np.searchsorted(self.union, s)
+        at = at[at < len(self.union)] if len(self.union) else at[:0]
+        at = at[np.isin(self.union[at], s)] if len(at) else at
+        at = np.unique(at)
+        # 100 i >= 90 (a + b - i) gives 190 i >= 90 (a + b)
+        if (100 + RATIO) * len(at) < RATIO * (len(s) + self.sizes.min()):
+            return None
+        counts = self.first[at + 1] - self.first[at]
+        rows = np.repeat(self.first[at] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
+        return np.bincount(self.owners[rows], minlength=len(self.sizes))
+
+
+def _cross(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Links between two blocks of a group, of different components only: one of each set with each component."""
+    found: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        group = TokenGroup([np.asarray(g, np.int64) for g in right.grams_])
+        own, reps = right.component_.to_numpy(), right.rep_.to_numpy()
+        for rep, component, grams in zip(left.rep, left.component, left.grams):
+            s = np.sort(np.asarray(grams, np.int64))
+            common = group.overlaps(s)
+            if common is None:
+                continue
+            linked = np.flatnonzero((100 * common >= RATIO * (len(s) + group.sizes - common)) & (own != component))
+            for k in np.unique(own[linked], return_index=True)[1]:
+                found.append((rep, reps[linked[k]]))
+    return pd.DataFrame(found, columns=["q", "y"]).astype("int64")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of the pairs (q, y) those whose sets, sets(doc_id, grams), are similar enough."""
     left = sets.select(F.col("doc_id").alias("q"), F.col("grams").alias("q_grams"))
@@ -166,7 +210,8 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _sets_of(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """The shingle sets of the documents in ids(doc_id), as a stage table."""
-    chosen = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    chosen = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
+    chosen = chosen.groupBy("doc_id").agg(F.max("text").alias("text"))
     return write_stage(chosen.mapInArrow(_sets, "doc_id long, grams array<long>"), name)
 
 
@@ -190,31 +235,24 @@ def join_documents(docs: DataFrame) -> DataFrame:
     links = write_stage(_linked(pairs, sets), "links")
     first = connected_components(links, "q", "y") if not links.isEmpty() else links.select(F.col("q").alias("node"), F.col("y").alias("component"))
 
-    # marks whose sets are of more than one component after the first comparisons
-    placed = met.join(first, met.rep == first.node, "left").select("mark", "rep", F.coalesce("component", "rep").alias("component"))
-    several = placed.groupBy("mark").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("mark")
-    several = write_stage(placed.join(several, "mark", "left_semi"), "several")
-    in_block = W.partitionBy("component").orderBy("rep")
-    members = several.select("component", "rep").distinct().withColumn("block", F.floor((F.row_number().over(in_block) - 1) / BLOCK).cast("int"))
-    members = write_stage(members, "members")
-    blocked = several.join(members, ["component", "rep"]).select("mark", "component", "block").distinct()
-    queries = several.select("mark", F.col("rep").alias("q"), F.col("component").alias("own"))
-    near = queries.join(blocked, "mark").where("own > component").select("q", "component", "block").distinct()
-    single = members.groupBy("component", "block").agg(F.count(F.lit(1)).alias("n_members"), F.min("rep").alias("y"))
-    done = pairs.withColumn("done", F.lit(True))
-    near = near.join(single, ["component", "block"]).join(done, ["q", "y"], "left").where("n_members > 1 or done is null").select("q", "component", "block")
-    near = write_stage(near, "near")
-    if near.isEmpty():
-        more = links
-    else:
-        matrix = members.join(sets.withColumnRenamed("doc_id", "rep"), "rep").groupBy("component", "block")
-        matrix = matrix.agg(F.array_distinct(F.flatten(F.collect_list("grams"))).alias("union"), F.min(F.size("grams")).alias("least"))
-        tested = near.join(sets.select(F.col("doc_id").alias("q"), F.col("grams").alias("q_grams")), "q").join(matrix, ["component", "block"])
-        # 100 i >= 90 (a + b - i) gives 190 i >= 90 (a + b)
-        bound = 190 * F.size(F.array_intersect("q_grams", "union")) >= RATIO * (F.size("q_grams") + F.col("least"))
-        opened = tested.where(bound).select("q", "component", "block").join(members, ["component", "block"]).select("q", F.col("rep").alias("y"))
-        more = write_stage(links.unionByName(_linked(opened.distinct(), sets)), "links")
-    final = first if near.isEmpty() else connected_components(more, "q", "y")
+    # groups of more than one component after the first comparisons
+    groups = pairs.select("y", F.col("q").alias("rep")).unionByName(pairs.select("y", F.col("y").alias("rep")).distinct())
+    groups = groups.join(first, groups.rep == first.node, "left").select("y", "rep", F.coalesce("component", "rep").alias("component"))
+    several = groups.groupBy("y").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n_members"))
+    several = several.where("low < high and n_members > 2").select("y", "n_members")  # of two, both have been compared
+    number = F.row_number().over(W.partitionBy("y").orderBy("rep")) - 1
+    members = groups.join(several, "y").withColumn("block", F.floor(number / BLOCK).cast("int")).withColumn("n_blocks", F.ceil(F.col("n_members") / BLOCK).cast("int"))
+    members = write_stage(members.select("y", "rep", "component", "block", "n_blocks"), "members")
+    final = first
+    if not members.isEmpty():
+        held = members.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+        left = held.select("y", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("n_blocks") - 1)).alias("j"), "rep", "component", "grams")
+        right = held.select("y", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"), "rep", "component", "grams")
+        right = right.toDF("y_", "i_", "j_", "rep_", "component_", "grams_")
+        more = left.groupBy("y", "i", "j").cogroup(right.groupBy("y_", "i_", "j_")).applyInPandas(_cross, "q long, y long")
+        more = write_stage(more, "more")
+        if not more.isEmpty():
+            final = connected_components(links.unionByName(more), "q", "y")
     classed = classes.join(final, classes.rep == final.node, "left").select("set_hash", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n_shingles", "set_hash").join(classed, "set_hash", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

@@ -28,7 +28,7 @@ END_ID = 1
 #: Pieces that wait at most.
 WINDOW = 512
 #: Words that the cache of a Python worker holds at most, and letters of one that it takes.
-CACHE_WORDS, CACHE_LETTERS = 500_000, 64
+CACHE_WORDS, CACHE_LETTERS = 1_000_000, 64
 SLICE = 1_000_000
 
 Piece = tuple[int, int, bytes, int]  # document, start, ids as bytes, ids of the document
@@ -97,11 +97,12 @@ class WordEncoder:
             if None in ids:
                 if len(self.words) > CACHE_WORDS:
                     self.words = {b"": b""}
-                self._learn({w for w in words if w not in self.words})
+                missing = set(words).difference(self.words)
+                self._learn(missing)
                 ids = list(map(self.words.__getitem__, words))
-                for w in words:
+                for w in missing:
                     if len(w) > CACHE_LETTERS:
-                        self.words.pop(w, None)
+                        del self.words[w]
             found += ids
         return b"".join(found)
 

@@ -1,6 +1,6 @@
 """Winnowed document fingerprints, in DataFrame functions only.
 
-A text is cut at white space into words. Every run of K consecutive words is hashed (a k-gram). In every window
+A text is cut at white space into words, and words after every WORD characters, so text without spaces has words too. Every run of K consecutive words is hashed (a k-gram). In every window
 of W consecutive k-grams the smallest hash is chosen, the rightmost of equal ones, and kept with its position.
 
 Guarantee: two texts that share a run of at least W + K - 1 words share the k-gram chosen in it.
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W_
 from pyspark.sql import functions as F
 
+WORD = 16
 K = 3
 W = 4  # a power of two: minima over windows are made by doubling
 #: Positions count down from here in the low 31 bits, so that the least value has the rightmost position.
@@ -46,8 +47,8 @@ def _choose(words: Column) -> Column:
 
 def winnow(text: Column) -> Column:
     """The chosen k-grams of a text, as an array of longs; see hashes() and positions()."""
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    return _let(words, lambda a: _choose(a))
+    words = F.regexp_extract_all(text, F.lit(rf"\S{{1,{WORD}}}"), F.lit(0))
+    return _let(words, lambda a: F.when(F.size(a) > 0, _choose(a)).otherwise(F.array().cast("array<bigint>")))
 
 
 def hashes(chosen: Column) -> Column:

@@ -23,13 +23,21 @@ def doubled_area(ring: Column) -> Column:
 
 
 def centroid(ring: Column) -> Column:
-    """struct<x,y>, weighted by area; the mean of the points where the area is next to nothing."""
-    area, n = doubled_area(ring), F.size(ring).cast("double")
+    """struct<x,y>, weighted by area; the mean of the points where the area is next to nothing.
+
+    Reckoned from the first point, since areas of buildings are tiny beside their coordinates.
+    """
+    first, n = F.get(ring, F.lit(0)), F.size(ring).cast("double")
+
+    def cross(p, q):
+        return (p["x"] - first["x"]) * (q["y"] - first["y"]) - (q["x"] - first["x"]) * (p["y"] - first["y"])
+
+    area = _edges(ring, cross)
 
     def moment(c: str) -> Column:
-        weighted = _edges(ring, lambda p, q: (p[c] + q[c]) * (p["x"] * q["y"] - q["x"] * p["y"]))
+        weighted = _edges(ring, lambda p, q: (p[c] + q[c] - 2 * first[c]) * cross(p, q))
         mean = F.aggregate(ring, F.lit(0.0), lambda acc, p: acc + p[c]) / n
-        return F.when(F.abs(area) <= 1e-14, mean).otherwise(weighted / F.nullif(3 * area, F.lit(0.0)))
+        return F.when(F.abs(area) <= 1e-14, mean).otherwise(first[c] + weighted / F.nullif(3 * area, F.lit(0.0)))
 
     return F.struct(moment("x").alias("x"), moment("y").alias("y"))
 
@@ -74,7 +82,7 @@ def hilbert_tile_id(z: int, x: Column, y: Column) -> Column:
     start = F.struct(x.cast("bigint").alias("x"), y.cast("bigint").alias("y"), F.lit(0).cast("bigint").alias("d"))
 
     def step(acc, level):
-        side = F.shiftleft(F.lit(1).cast("bigint"), level)
+        side = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
         rx, ry = acc["x"].bitwiseAND(side) > 0, acc["y"].bitwiseAND(side) > 0
         d = acc["d"] + side * side * F.when(rx & ~ry, 3).when(rx & ry, 2).when(ry, 1).otherwise(0)
         # the lower half of the curve is turned, its right side also mirrored

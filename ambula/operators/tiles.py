@@ -139,7 +139,11 @@ def tile_geometries(buildings: DataFrame, zooms: Iterable[int] = ZOOMS) -> DataF
 
     flat = buildings.select("building_id", project(F.col("rings")).alias("rings")).withColumn("area", F.abs(doubled_area(F.get("rings", F.lit(0)))))
     box = [edge("rings", F.array_min, "x"), edge("rings", F.array_min, "y"), edge("rings", F.array_max, "x"), edge("rings", F.array_max, "y")]
-    every = F.flatten(F.array(*[F.transform(tiles_of_box(*box, z), lambda t, z=z: F.struct(F.lit(z).alias("z"), t["x"].alias("x"), t["y"].alias("y"))) for z in zooms]))
+
+    def at_zoom(z: int) -> Column:
+        return F.transform(tiles_of_box(*box, z), lambda t: F.struct(F.lit(z).alias("z"), t["x"].alias("x"), t["y"].alias("y")))
+
+    every = F.flatten(F.array(*map(at_zoom, zooms)))
     met = flat.withColumn("tile", F.explode(every)).select("tile.*", "building_id", "area", "rings")
 
     def encode(frames):

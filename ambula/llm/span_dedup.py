@@ -5,6 +5,9 @@ stops of Chinese and Japanese, and at line ends. From every sentence on, and bac
 of consecutive sentences that has at least MIN_SENTENCES sentences and MIN_WORDS words (or LONG_WORDS words in fewer)
 is a span. Spans are joined over the whole corpus by the hash of their words (A-Z lower-cased, white space ignored). The
 first place of a span, by doc_id and then position, stays; sentences that any other place covers are removed.
+
+Heavy hashes, each of at least 1 / HEAVY of all spans, would gather in a few tasks. There are at most HEAVY of them, so
+their first places are broadcast, and the spans of each text are held against them where they are. Only others are joined.
 """
 
 from __future__ import annotations
@@ -24,6 +27,10 @@ from ambula.stages import write_stage
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 LONG_WORDS = 40
+#: A hash is heavy if it has at least this part of all spans, so there are no more heavy ones than that.
+HEAVY = 65_536
+#: Stands for a null doc_id: the smallest.
+NULL_ID = -(2**63)
 #: White space after a sentence belongs to it, so that sentences tile the text.
 _ENDS = re.compile(r"""[.!?]["'’”)\]]*\s+|[。！？]\s*|\s*\n\s*""")
 
@@ -97,14 +104,57 @@ def _cut(columns: list[str]):
     return cut
 
 
+def _each(spanned: DataFrame) -> DataFrame:
+    """(h, at) for each span."""
+    each = spanned.select("doc_id", "text_hash", F.explode(F.arrays_zip("places", "hashes")).alias("s"))
+    return each.select(F.col("s.hashes").alias("h"), F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text_hash", F.col("s.places").alias("place")).alias("at"))
+
+
+def _split(held):
+    """Takes the heavy spans out of each text's, and tells which of them are not the first of their hash."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heavy = held.value
+        h, first_doc, first_text, first_place = (heavy[c] for c in ("h", "doc_id", "text_hash", "place"))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                lists, hashes = part.column(2), part.column(3)
+                places, found = (np.asarray(x.flatten(), np.int64) for x in (lists, hashes))
+                sizes = np.diff(np.asarray(lists.offsets))
+                owner = np.repeat(np.arange(part.num_rows), sizes)
+                near = np.minimum(np.searchsorted(h, found), max(len(h) - 1, 0))
+                is_heavy = h[near] == found if len(h) else np.zeros(len(found), bool)
+                doc = np.asarray(part.column(0).fill_null(NULL_ID), np.int64)[owner]
+                text = np.asarray(part.column(1), np.int64)[owner]
+                later = is_heavy.copy()
+                if len(h):
+                    later &= ~((first_doc[near] == doc) & (first_text[near] == text) & (first_place[near] == places))
+
+                def lists_of(values, mask):
+                    ends = np.concatenate(([0], np.cumsum(np.bincount(owner[mask], minlength=part.num_rows)))).astype(np.int32)
+                    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[mask]))
+
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists_of(places, ~is_heavy), lists_of(found, ~is_heavy), lists_of(places, later)], ["doc_id", "text_hash", "places", "hashes", "later"])
+
+    return split
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, places): for each text with any, the places of spans that are not the first of their hash."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     spanned = write_stage(keyed.mapInArrow(_spanned, "doc_id long, text_hash long, places array<long>, hashes array<long>"), "spans")
-    each = spanned.select("doc_id", "text_hash", F.explode(F.arrays_zip("places", "hashes")).alias("s")).select(F.col("s.hashes").alias("h"), F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "text_hash", F.col("s.places").alias("place")).alias("at"))
-    firsts = each.groupBy("h").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first < last").select("h", "first")
-    later = each.join(firsts, "h").where("at <> first").select("at.*").distinct()
-    return later.groupBy("doc_id", "text_hash").agg(F.collect_list("place").alias("places"))
+    firsts = _each(spanned).groupBy("h").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count(F.lit(1)).alias("n")).where("first < last").select("h", "first", "n")
+    firsts = write_stage(firsts, "firsts")
+    total = spanned.agg(F.sum(F.size("places"))).first()[0] or 0
+    heavy = firsts.where(F.col("n") * HEAVY >= total)
+    table = heavy.select("h", "first.*").toPandas().sort_values("h")
+    held = spanned.sparkSession.sparkContext.broadcast({c: table[c].to_numpy(np.int64) for c in table})
+    split = spanned.mapInArrow(_split(held), "doc_id long, text_hash long, places array<long>, hashes array<long>, later array<long>")
+    light = _each(split).join(firsts.where(F.col("n") * HEAVY < total).select("h", "first"), "h").where("at <> first").select("at.*").distinct()
+    light = light.groupBy("doc_id", "text_hash").agg(F.collect_list("place").alias("places"))
+    known = split.where("size(later) > 0").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text_hash", F.col("later").alias("places"))
+    return light.unionByName(known).groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("places")).alias("places"))
 
 
 def dedup_spans(docs: DataFrame) -> DataFrame:
@@ -115,7 +165,7 @@ def dedup_spans(docs: DataFrame) -> DataFrame:
     sentences went. No rows give no rows.
     """
     names = docs.columns
-    keyed = docs.withColumns({"join_id_": F.coalesce("doc_id", F.lit(-(2**63))), "join_hash_": F.xxhash64("text")})
+    keyed = docs.withColumns({"join_id_": F.coalesce("doc_id", F.lit(NULL_ID)), "join_hash_": F.xxhash64("text")})
     later = repeated_spans(docs).select(F.col("doc_id").alias("join_id_"), F.col("text_hash").alias("join_hash_"), F.col("places").alias("places_"))
     met = keyed.join(later, ["join_id_", "join_hash_"], "left").select(*names, "places_")
     schema = T.StructType([*docs.schema.fields, T.StructField("sentences_", T.LongType()), T.StructField("removed_", T.LongType())])

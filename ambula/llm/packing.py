@@ -27,8 +27,8 @@ CAPACITY = 2048
 END_ID = 1
 #: Pieces that wait at most.
 WINDOW = 512
-#: Words that the cache of a Python worker holds at most, and letters of one that it takes.
-CACHE_WORDS, CACHE_LETTERS = 1_000_000, 64
+#: Words that each of the cache's two generations in a Python worker holds at about most, and letters of one that it takes.
+CACHE_WORDS, CACHE_LETTERS = 400_000, 64
 SLICE = 1_000_000
 
 Piece = tuple[int, int, bytes, int]  # document, start, ids as bytes, ids of the document
@@ -53,6 +53,7 @@ class WordEncoder:
         for token, i in vocabulary.items():
             self.final[i] = token.endswith("</w>")
         self.words: dict[bytes, bytes] = {b"": b""}
+        self.old: dict[bytes, bytes] = {}
         self.marks = {m: self._ids([m.decode()])[0] for m in (b",", b".")}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -66,12 +67,14 @@ class WordEncoder:
             text = stem.decode("utf-8", "surrogatepass")
             if text.isalpha():
                 cut[word] = (stem, self.marks[word[-1:]] if len(stem) < len(word) else b"")
-                if stem not in self.words:
+                if stem in self.old:
+                    self.words[stem] = self.old[stem]
+                elif stem not in self.words:
                     plain.add(stem)
             else:
                 other.append(word)
         stems = sorted(plain)
-        groups = [stems[i : i + 64] for i in range(0, len(stems), 64)]
+        groups = [stems[i : i + 256] for i in range(0, len(stems), 256)]
         for group, ids in zip(groups, self._ids([b" ".join(g).decode("utf-8", "surrogatepass") for g in groups])):
             ends = np.flatnonzero(self.final[np.frombuffer(ids, "<u4")]) + 1
             if len(ends) == len(group):
@@ -95,9 +98,12 @@ class WordEncoder:
             at = end
             ids = list(map(self.words.get, words))
             if None in ids:
-                if len(self.words) > CACHE_WORDS:
-                    self.words = {b"": b""}
+                if len(self.words) > CACHE_WORDS:  # words that are not met again go with the generation after
+                    self.words, self.old = {b"": b""}, self.words
                 missing = set(words).difference(self.words)
+                known = {w for w in missing if w in self.old}
+                self.words.update(zip(known, map(self.old.__getitem__, known)))
+                missing -= known
                 self._learn(missing)
                 ids = list(map(self.words.__getitem__, words))
                 for w in missing:

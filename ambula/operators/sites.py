@@ -19,8 +19,8 @@ TOO_FEW, MARGINAL = 6, 15
 def similar_pairs(features: DataFrame, radius_m: float = GROUP_RADIUS_M) -> DataFrame:
     """(type_id, a, b), a < b: named features of a type whose names are similar, within the radius.
 
-    Buckets are bands of latitude as high as the radius and the first word of the name: one name is the beginning of the
-    other, but perhaps of its first word only, so words are cut to the shortest first word that a type's names allow: none.
+    Buckets are bands of latitude as high as the radius and the first character of the normalised name, which similar
+    names share.
     """
     band = F.floor(F.col("lat") * (KY / radius_m))
     named = features.where("name is not null").select("type_id", "id", "lng", "lat", normalize(F.col("name")).alias("norm"))

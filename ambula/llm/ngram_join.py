@@ -8,9 +8,9 @@ The join is exact. Equal sets are one class at once. For the others:
    lower end of its class also gives the signatures of the class below. Where a part is empty, a set gives signatures
    of that part's number with each of its shingles of least hash instead (linked sets share one of these).
 2. Of the sets with a common signature each is compared with the least one, its leader, and components are formed.
-3. Token-group matrix: sets with a common leader are one group, in blocks of at most BLOCK, so any two sets with a common
-   signature are in some group together. Groups of one component are done. In the others each block has the union of its
-   members' shingles as rows of a matrix with the members as columns. A set can only link to a block if its overlap
+3. Token-group matrix: sets with a common leader are one group, dealt by hash to blocks of at most BLOCK on average, so
+   any two sets with a common signature are in some group together. Groups of one component are done. In the others each
+   block has the union of its members' shingles as rows of a matrix with the members as columns. A set can only link to a block if its overlap
    with the union is large enough for the block's smallest member; only then the block is opened, and the rows of
    the set's shingles are added up to its overlaps with all members.
 """
@@ -24,7 +24,6 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ambula.operators.components import connected_components
@@ -240,8 +239,8 @@ def join_documents(docs: DataFrame) -> DataFrame:
     groups = groups.join(first, groups.rep == first.node, "left").select("y", "rep", F.coalesce("component", "rep").alias("component"))
     several = groups.groupBy("y").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n_members"))
     several = several.where("low < high and n_members > 2").select("y", "n_members")  # of two, both have been compared
-    number = F.row_number().over(W.partitionBy("y").orderBy("rep")) - 1
-    members = groups.join(several, "y").withColumn("block", F.floor(number / BLOCK).cast("int")).withColumn("n_blocks", F.ceil(F.col("n_members") / BLOCK).cast("int"))
+    # blocks by hash, so that no task numbers the members of a group
+    members = groups.join(several, "y").withColumn("n_blocks", F.ceil(F.col("n_members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep", "y"), "n_blocks").cast("int"))
     members = write_stage(members.select("y", "rep", "component", "block", "n_blocks"), "members")
     final = first
     if not members.isEmpty():

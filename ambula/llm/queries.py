@@ -72,4 +72,53 @@ def _url_sql() -> str:
     """
 
 
-ORACLE_SQL = {"op9_url_filter": _url_sql()}
+def _secrets_sql() -> str:
+    """Spans by the gaps between matches, and each window's entropy counted anew."""
+    words = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    assign = f"""({words})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+    patterns = (assign, "AKIA[A-Z0-9]+", "[0-9a-f]{24,}", secrets.CANDIDATE)
+    found = " UNION ALL ".join(f"SELECT r, {k} AS k, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS gaps FROM texts" for k, p in enumerate(patterns))
+    # the pattern for one character over and over has a back reference, which DuckDB lacks
+    allow = " OR ".join(f"regexp_matches(m, '{p}')" for p in secrets.ALLOW if "\\1" not in p)
+    names = " ".join(f"WHEN {k} THEN '{name}'" for k, name in enumerate(secrets.KINDS))
+    counts = ", ".join(f"count(*) FILTER (k = {k}) AS n_{name}" for k, name in enumerate(secrets.KINDS))
+    return f"""
+    WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+    found AS ({found}),
+    matched AS (SELECT r, k, generate_subscripts(ms, 1) AS i, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap FROM found WHERE len(ms) > 0),
+    placed AS (SELECT r, k, m, sum(length(gap) + length(m)) OVER (PARTITION BY r, k ORDER BY i) AS stop FROM matched),
+    classed AS (SELECT *, CASE
+            WHEN k < 3 OR {allow} OR replace(m, left(m, 1), '') = '' THEN NULL
+            WHEN regexp_full_match(m, '[0-9a-fA-F]+') AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-fA-F]') THEN {secrets.THRESHOLDS["hex"]}
+            WHEN regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') THEN {secrets.THRESHOLDS["mixed"]} END AS threshold FROM placed),
+    kept AS (SELECT r, k, CASE k {names} END || ':' || CAST(stop - length(m) AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span, stop - length(m) AS start FROM classed
+        WHERE CASE k WHEN 0 THEN length(regexp_extract(m, '{assign}', 2)) >= 6 WHEN 1 THEN length(m) >= 20 WHEN 2 THEN true
+            ELSE threshold IS NOT NULL AND list_max(list_transform(range(1, length(m) - {secrets.WINDOW} + 2), lambda j: list_aggregate(string_split(substring(m, j, {secrets.WINDOW}), ''), 'entropy'))) >= threshold END),
+    by_text AS (SELECT r, {counts}, string_agg(span, ',' ORDER BY start, k) FILTER (k < 3) AS base, string_agg(span, ',' ORDER BY start, k) AS spans FROM kept GROUP BY r)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_entropy, 0) AS n_entropy
+    FROM texts LEFT JOIN by_text USING (r)
+    """
+
+
+def _jaccard_sql() -> str:
+    """Links by counting common shingles of one document for each different set; components by reachability."""
+    return rf"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    grams AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM words),
+    sizes AS MATERIALIZED (SELECT doc_id, CAST(len(g) AS BIGINT) AS n, md5(array_to_string(list_sort(g), chr(10))) AS h FROM grams),
+    reps AS MATERIALIZED (SELECT h, min(doc_id) AS rep, min(n) AS n FROM sizes WHERE n > 0 GROUP BY h),
+    each_gram AS MATERIALIZED (SELECT rep, n, unnest(g) AS s FROM reps JOIN grams ON doc_id = rep),
+    common AS (SELECT a.rep AS a, b.rep AS b, a.n AS n, b.n AS m, count(*) AS i FROM each_gram a JOIN each_gram b USING (s)
+        WHERE a.rep < b.rep AND 100 * least(a.n, b.n) >= {ngram_join.RATIO} * greatest(a.n, b.n) GROUP BY ALL),
+    links AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * i >= {ngram_join.RATIO} * (n + m - i)),
+    both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached(node, via) AS (SELECT rep, rep FROM reps UNION SELECT r.node, e.b FROM reached r JOIN both_ways e ON e.a = r.via),
+    lowest AS (SELECT node, min(via) AS component FROM reached GROUP BY node)
+    SELECT doc_id, sizes.n AS n_shingles, coalesce(component, doc_id) AS component_id FROM sizes LEFT JOIN reps USING (h) LEFT JOIN lowest ON node = rep
+    """
+
+
+ORACLE_SQL = {"op6_secrets": _secrets_sql(), "op8_ngram_jaccard": _jaccard_sql(), "op9_url_filter": _url_sql()}

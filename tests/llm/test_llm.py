@@ -149,6 +149,23 @@ def test_join(spark, docs, empty):
     assert ngram_join.join_documents(empty).count() == 0
 
 
+def test_join_blocks(spark, monkeypatch):
+    """Chains whose ends do not link, in groups of many blocks."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    rng = np.random.default_rng(5)
+    texts, ids = {}, iter(rng.permutation(90).tolist())
+    for chain in range(3):
+        words = [f"c{chain}w{i}" for i in rng.integers(0, 4000, 300)]
+        for step in range(30):
+            for j in rng.integers(0, 240, 12 if step == 15 else 3):  # the last words are common to all; a break in the middle
+                words[j] = f"n{chain}s{step}x{j}"
+            texts[next(ids)] = " ".join(words)
+    expected = brute_components(texts)
+    assert 3 < len(set(expected.values())) < 90
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.component_id for r in ngram_join.join_documents(frame).collect()} == expected
+
+
 def test_spans(docs, empty):
     rows = {r.doc_id: r for r in span_dedup.dedup_spans(docs).collect()}
     assert rows[4].text == PASSAGE and rows[5].text == "" and rows[6].text == "Intro words here. Then an end."

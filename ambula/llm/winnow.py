@@ -1,7 +1,8 @@
 """Winnowed document fingerprints, in DataFrame functions only.
 
-A text is cut at white space into words, and words after every WORD characters, so text without spaces has words too. Every run of K consecutive words is hashed (a k-gram). In every window
-of W consecutive k-grams the smallest hash is chosen, the rightmost of equal ones, and kept with its position.
+A text is cut at white space into words, and words after every WORD characters, so text without spaces has words too.
+Every run of K consecutive words is hashed (a k-gram). In every window of W consecutive k-grams the smallest hash is
+chosen, the rightmost of equal ones, and kept with its position.
 
 Guarantee: two texts that share a run of at least W + K - 1 words share the k-gram chosen in it.
 A text with fewer than K words has one k-gram of all its words; one with fewer than W k-grams has one window.

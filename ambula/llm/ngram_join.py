@@ -1,12 +1,13 @@
-"""N-gram Jaccard join: all links of documents whose shingle sets have a Jaccard similarity of at least RATIO.
+"""N-gram Jaccard join: all links of documents whose shingle sets have a Jaccard similarity of at least a ratio.
 
 The join is exact. Equal sets are one class at once. For the others:
 
-1. Two sets of sizes a <= b with similarity >= 9/10 differ in at most (a + b) / 19 <= a / 9 shingles. The universe of
-   shingles is split by hash into more parts than that, so that some part is equal in both; each part's hash is a
-   signature, and linked sets share one. The number of parts follows the class of the smaller size; a set near the
-   lower end of its class also gives the signatures of the class below. Where a part is empty, a set gives signatures
-   of that part's number with each of its shingles of least hash instead (linked sets share one of these).
+1. Two sets of sizes a <= b with similarity >= r/100 differ in at most a (100 - r) / r shingles (a / 9 for 90). The
+   universe of shingles is split by hash into more parts than that; each full part's hash is a signature. A set with
+   more full parts than that shares one with each set it links to, as each shingle that differs spoils one part at most.
+   The number of parts follows the class of the smaller size; a set near the lower end of its class also gives the
+   signatures of the class below. A set with fewer full parts also gives its shingles of least hash, one more than may
+   differ (linked sets that both do so share one of these).
 2. Of the sets with a common signature each is compared with the least one, its leader, and components are formed.
 3. Token-group matrix: sets with a common leader are one group, dealt by hash to blocks of at most BLOCK on average, so
    any two sets with a common signature are in some group together. Groups of one component are done. In the others each
@@ -18,12 +19,14 @@ The join is exact. Equal sets are one class at once. For the others:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ambula.operators.components import connected_components
@@ -32,9 +35,6 @@ from ambula.stages import write_stage
 SHINGLE = 3
 RATIO = 90  # of 100
 BLOCK = 256
-#: Sizes below this link with equal sets only: 8 of 9 shingles are under 0.9.
-LEAST = 9
-GROWTH = 1.25
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _ODD = 0xD6E8FEB86659FD93
@@ -83,33 +83,51 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(_mix(grams + np.uint64(n)))
 
 
-def size_class(n: int) -> int:
-    """Classes of sizes: [LEAST * GROWTH**c, LEAST * GROWTH**(c + 1))."""
-    c = max(0, int(np.log(n / LEAST) / np.log(GROWTH)))
-    while class_start(c + 1) <= n:
+def least_size(ratio: int) -> int:
+    """Sizes below this link with equal sets only: for 90 it is 9, as 8 of 9 shingles are under 0.9."""
+    return -(-ratio // (100 - ratio))
+
+
+def class_start(c: int, ratio: int = RATIO) -> int:
+    """Classes of sizes grow by a factor of at least 100 / ratio, so that linked sets are in one class or in neighbours."""
+    return int(np.ceil(least_size(ratio) * max(1.25, 100 / ratio) ** c - 1e-9))
+
+
+def size_class(n: int, ratio: int = RATIO) -> int:
+    c = max(0, int(np.log(n / least_size(ratio)) / np.log(max(1.25, 100 / ratio))))
+    while class_start(c + 1, ratio) <= n:
         c += 1
-    while class_start(c) > n:
+    while class_start(c, ratio) > n:
         c -= 1
     return c
 
 
-def class_start(c: int) -> int:
-    return int(np.ceil(LEAST * GROWTH**c - 1e-9))
+@lru_cache(maxsize=None)
+def parts_of(k: int, ratio: int) -> tuple[int, int]:
+    """How many shingles may differ if the smaller size is of class k, and the number of parts: so many that few sets have
+    fewer full ones (by three deviations, for the least size of the class)."""
+    differ, n = (class_start(k + 1, ratio) - 1) * (100 - ratio) // ratio, class_start(k, ratio)
+    parts = differ + 1
+    while parts <= 2 * differ:
+        gap = np.exp(-n / parts)
+        if parts * (1 - gap) - 3 * np.sqrt(parts * gap * (1 - (1 + n / parts) * gap)) > differ:
+            break
+        parts += max(1, differ // 200)
+    return differ, parts
 
 
-def signatures(s: np.ndarray) -> np.ndarray:
+def signatures(s: np.ndarray, ratio: int = RATIO) -> np.ndarray:
     """Signatures of a sorted set, so that two linked, unequal sets have one in common."""
     n = len(s)
-    if n < LEAST:
+    if n < least_size(ratio):
         return np.empty(0, np.int64)
-    c = size_class(n)
+    c = size_class(n, ratio)
     classes = [c]
-    if c and 10 * (class_start(c) - 1) >= 9 * n:  # a partner may be in the class below
+    if c and 100 * (class_start(c, ratio) - 1) >= ratio * n:  # a partner may be in the class below
         classes.append(c - 1)
     found = []
     for k in classes:
-        differ = (class_start(k + 1) - 1) // 9
-        parts = differ + 1
+        differ, parts = parts_of(k, ratio)
         part = (_mix(s * _MUL + np.uint64(k)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
         counts = np.bincount(part.astype(np.int64), minlength=parts)
         order = np.argsort(part, kind="stable")  # within a part by value
@@ -120,38 +138,42 @@ def signatures(s: np.ndarray) -> np.ndarray:
         sums = np.add.reduceat(terms, starts)
         tag = np.uint64(k << 24) + full.astype(np.uint64)
         found.append(_mix(_mix(sums + counts[full].astype(np.uint64)) + tag * _MUL))
-        empty = np.flatnonzero(counts == 0)
-        if len(empty):
-            mixed = _mix(s ^ np.uint64(0x5851F42D4C957F2D))
-            least = np.sort(mixed)[: differ + 1]
-            tags = (np.uint64(k << 24) + empty.astype(np.uint64) + np.uint64(1 << 40)) * _MUL
-            found.append(_mix(least[:, None] + tags[None, :]).ravel())
+        if len(full) <= differ:
+            least = np.sort(_mix(s ^ np.uint64(0x5851F42D4C957F2D)))[: differ + 1]
+            tag = np.array([k << 24 | 1 << 40], np.uint64)  # an array, as its product may wrap
+            found.append(_mix(least + tag * _MUL))
     return np.concatenate(found).view(np.int64)
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            sets = [shingle_set(t) for t in part.column(1).to_pylist()]
-            found = [signatures(s) for s in sets]
-            offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
+            sets = [shingle_set(t, size) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.empty(0, np.int64))),
                 ],
-                ["doc_id", "n_shingles", "set_hash", "signatures"],
+                ["doc_id", "n_shingles", "set_hash"],
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _marks(batches: Iterator[pa.RecordBatch], size: int, ratio: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 128):
+            part = batch.slice(at, 128)
+            found = [signatures(shingle_set(t, size), ratio) for t in part.column(1).to_pylist()]
+            ids = np.repeat(part.column(0).to_numpy(), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int64()), pa.array(ids, pa.int64())], ["mark", "rep"])
+
+
+def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            sets = [shingle_set(t).view(np.int64) for t in part.column(1).to_pylist()]
+            sets = [shingle_set(t, size).view(np.int64) for t in part.column(1).to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["doc_id", "grams"])
 
@@ -159,7 +181,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class TokenGroup:
     """The token-group matrix of a block, by rows: for each shingle of the union the members that hold it."""
 
-    def __init__(self, sets: list[np.ndarray]) -> None:
+    def __init__(self, sets: list[np.ndarray], ratio: int = RATIO) -> None:
+        self.ratio = ratio
         self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
         grams = np.concatenate(sets)
         order = np.argsort(grams, kind="stable")
@@ -173,65 +196,67 @@ class TokenGroup:
         at = at[at < len(self.union)] if len(self.union) else at[:0]
         at = at[np.isin(self.union[at], s)] if len(at) else at
         at = np.unique(at)
-        # 100 i >= 90 (a + b - i) gives 190 i >= 90 (a + b)
-        if (100 + RATIO) * len(at) < RATIO * (len(s) + self.sizes.min()):
+        # 100 i >= r (a + b - i) gives (100 + r) i >= r (a + b)
+        if (100 + self.ratio) * len(at) < self.ratio * (len(s) + self.sizes.min()):
             return None
         counts = self.first[at + 1] - self.first[at]
         rows = np.repeat(self.first[at] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
         return np.bincount(self.owners[rows], minlength=len(self.sizes))
 
 
-def _cross(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def _cross(left: pd.DataFrame, right: pd.DataFrame, ratio: int) -> pd.DataFrame:
     """Links between two blocks of a group, of different components only: one of each set with each component."""
     found: list[tuple[int, int]] = []
     if len(left) and len(right):
-        group = TokenGroup([np.asarray(g, np.int64) for g in right.grams_])
+        group = TokenGroup([np.asarray(g, np.int64) for g in right.grams_], ratio)
         own, reps = right.component_.to_numpy(), right.rep_.to_numpy()
         for rep, component, grams in zip(left.rep, left.component, left.grams):
             s = np.sort(np.asarray(grams, np.int64))
             common = group.overlaps(s)
             if common is None:
                 continue
-            linked = np.flatnonzero((100 * common >= RATIO * (len(s) + group.sizes - common)) & (own != component))
+            linked = np.flatnonzero((100 * common >= ratio * (len(s) + group.sizes - common)) & (own != component))
             for k in np.unique(own[linked], return_index=True)[1]:
                 found.append((rep, reps[linked[k]]))
     return pd.DataFrame(found, columns=["q", "y"]).astype("int64")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, ratio: int) -> DataFrame:
     """Of the pairs (q, y) those whose sets, sets(doc_id, grams), are similar enough."""
     left = sets.select(F.col("doc_id").alias("q"), F.col("grams").alias("q_grams"))
     right = sets.select(F.col("doc_id").alias("y"), F.col("grams").alias("y_grams"))
     common = F.size(F.array_intersect("q_grams", "y_grams"))
     joined = pairs.join(left, "q").join(right, "y").withColumn("common", common)
-    return joined.where(100 * F.col("common") >= RATIO * (F.size("q_grams") + F.size("y_grams") - F.col("common"))).select("q", "y")
+    return joined.where(100 * F.col("common") >= ratio * (F.size("q_grams") + F.size("y_grams") - F.col("common"))).select("q", "y")
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+def _sets_of(docs: DataFrame, ids: DataFrame, name: str, size: int) -> DataFrame:
     """The shingle sets of the documents in ids(doc_id), as a stage table."""
     chosen = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
     chosen = chosen.groupBy("doc_id").agg(F.max("text").alias("text"))
-    return write_stage(chosen.mapInArrow(_sets, "doc_id long, grams array<long>"), name)
+    return write_stage(chosen.mapInArrow(partial(_sets, size=size), "doc_id long, grams array<long>"), name)
 
 
-def join_documents(docs: DataFrame) -> DataFrame:
+def join_documents(docs: DataFrame, size: int = SHINGLE, ratio: int = RATIO) -> DataFrame:
     """A row of docs(doc_id, text) each: doc_id, n_shingles, and component_id, the smallest doc_id reachable by links.
 
+    Links are of a Jaccard similarity of ratio / 100 at least (ratio < 100) over runs of `size` words.
+
     Null, empty and blank texts have 0 shingles and no links. Rows with equal sets are linked whatever their number.
     A null doc_id has a null component_id and links nothing; rows with one doc_id are to have one text (with several,
     each row's set links it, and comparisons use any one). Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    signed = write_stage(docs.mapInArrow(_signed, "doc_id long, n_shingles long, set_hash binary, signatures array<long>"), "signed")
-    classes = signed.where("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signatures").alias("signatures"))
-    classes = write_stage(classes, "classes")
-    marks = classes.select("rep", F.explode("signatures").alias("mark"))
-    shared = marks.groupBy("mark").agg(F.min("rep").alias("y"), F.max("rep").alias("last")).where("y < last").select("mark", "y")
-    met = write_stage(marks.join(shared, "mark").select("mark", "rep", "y"), "met")
-    pairs = write_stage(met.where("rep <> y").select(F.col("rep").alias("q"), "y").distinct(), "pairs")
+    signed = write_stage(docs.mapInArrow(partial(_signed, size=size), "doc_id long, n_shingles long, set_hash binary"), "signed")
+    classes = write_stage(signed.where("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "classes")
+    # signatures are made anew from the texts and dealt once: they are most of the disk
+    reps = docs.join(classes.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    mark = W.partitionBy("mark")
+    shared = reps.mapInArrow(partial(_marks, size=size, ratio=ratio), "mark long, rep long").withColumn("y", F.min("rep").over(mark))
+    pairs = write_stage(shared.where("rep <> y").select(F.col("rep").alias("q"), "y").distinct(), "pairs")
     ids = pairs.select(F.explode(F.array("q", "y")).alias("doc_id")).distinct()
-    sets = _sets_of(docs, ids, "sets")
-    links = write_stage(_linked(pairs, sets), "links")
+    sets = _sets_of(docs, ids, "sets", size)
+    links = write_stage(_linked(pairs, sets, ratio), "links")
     first = connected_components(links, "q", "y") if not links.isEmpty() else links.select(F.col("q").alias("node"), F.col("y").alias("component"))
 
     # groups of more than one component after the first comparisons
@@ -248,7 +273,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
         left = held.select("y", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("n_blocks") - 1)).alias("j"), "rep", "component", "grams")
         right = held.select("y", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"), "rep", "component", "grams")
         right = right.toDF("y_", "i_", "j_", "rep_", "component_", "grams_")
-        more = left.groupBy("y", "i", "j").cogroup(right.groupBy("y_", "i_", "j_")).applyInPandas(_cross, "q long, y long")
+        more = left.groupBy("y", "i", "j").cogroup(right.groupBy("y_", "i_", "j_")).applyInPandas(lambda a, b: _cross(a, b, ratio), "q long, y long")
         more = write_stage(more, "more")
         if not more.isEmpty():
             final = connected_components(links.unionByName(more), "q", "y")
@@ -258,7 +283,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = SHINGLE, ratio: int = RATIO) -> DataFrame:
     """docs less all documents of a component but the one of the smallest doc_id; null doc_ids stay."""
-    drop = join_documents(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    drop = join_documents(docs, size, ratio).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)

@@ -166,6 +166,52 @@ def test_join_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in ngram_join.join_documents(frame).collect()} == expected
 
 
+def brute_links(texts, size, ratio):
+    """Components of links at another size and ratio, as brute_components has them for op8's."""
+    words = {k: (t or "").encode().lower().split() for k, t in texts.items()}
+    sets = {k: {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set() for k, w in words.items()}
+    least = {k: k for k in texts}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= ratio * len(sets[a] | sets[b]) and least[a] != least[b]:
+                lo, hi = sorted((least[a], least[b]))
+                least = {k: lo if v == hi else v for k, v in least.items()}
+    return least
+
+
+@pytest.mark.parametrize("ratio", [60, 80, 90])
+def test_signatures_meet(ratio):
+    """Sets that differ as much as they may share a signature, whatever their sizes."""
+    rng = np.random.default_rng(ratio)
+    for a in [*range(ngram_join.least_size(ratio), 60), 137, 400, 1500]:
+        for b in {a, a + 1, 100 * a // ratio, (a + 100 * a // ratio) // 2}:
+            i = -(-ratio * (a + b) // (100 + ratio))  # the least overlap that links
+            if i > min(a, b) or i == a == b:
+                continue
+            for _ in range(20):
+                x = rng.integers(0, 2**63, a + b - i).astype(np.uint64)
+                one, two = np.sort(x[:a]), np.sort(x[a - i :])
+                assert np.intersect1d(ngram_join.signatures(one, ratio), ngram_join.signatures(two, ratio)).size
+
+
+def test_pipeline_join(spark):
+    """The near-duplicate stage links by five words and 0.8, where op8 links by three and 0.9."""
+    rng = np.random.default_rng(11)
+    texts = {}
+    for i in range(120):  # a changed block of up to 14 per cent, or a few words, of ten bases; and short texts
+        base = [f"b{i % 10}w{j}" for j in range(300 if i % 4 else 6 + i % 9)]
+        n = int(rng.integers(0, len(base) // 7 + 1))
+        at = int(rng.integers(0, len(base) - n + 1))
+        for j in range(at, at + n) if i % 2 else rng.integers(0, len(base), n // 6):
+            base[j] = f"z{i}"
+        texts[i] = " ".join(base)
+    expected = brute_links(texts, 5, 80)
+    assert expected != brute_links(texts, 3, 90) == brute_components(texts)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in corpus_pipeline.ngram_jaccard_join(spark, frame, "").collect()} == set(expected.values())
+    assert {r.doc_id: r.component_id for r in ngram_join.join_documents(frame, 5, 80).collect()} == expected
+
+
 def test_spans(docs, empty):
     rows = {r.doc_id: r for r in span_dedup.dedup_spans(docs).collect()}
     assert rows[4].text == PASSAGE and rows[5].text == "" and rows[6].text == "Intro words here. Then an end."

@@ -394,6 +394,20 @@ def point_in_ring(spark, d):
     return met.where(geometry.point_in_ring(F.col("lng"), F.col("lat"), F.col("ring"))).select("building_id", "node_id")
 
 
+@query(sql("SELECT b.building_id, n.node_id FROM geo_buildings b JOIN geo_nodes n ON n.lng >= b.clng - half AND n.lng < b.clng + half AND n.lat >= b.clat - half AND n.lat < b.clat + half", "geo_buildings", "geo_nodes"))
+def point_in_ring_all(spark, d):
+    """Every pair, where point_in_ring and its SQL have those of equal residues only: nodes meet the rings whose box touches their bucket."""
+    size = 0.001  # degrees
+    n = fx.geo_nodes(spark, d).select("node_id", "lng", "lat", F.floor(F.col("lng") / size).alias("bx"), F.floor(F.col("lat") / size).alias("by"))
+
+    def buckets(c: str):
+        v = F.transform("ring", lambda p: p[c])
+        return F.explode(F.sequence(F.floor(F.array_min(v) / size), F.floor(F.array_max(v) / size)))
+
+    met = _ring(spark, d).select("building_id", "ring", buckets("x").alias("bx")).withColumn("by", buckets("y")).join(n, ["bx", "by"])
+    return met.where(geometry.point_in_ring(F.col("lng"), F.col("lat"), F.col("ring"))).select("building_id", "node_id")
+
+
 _MERC = "lng / 360 + 0.5 AS ux, 0.5 - ln((1 + least(0.9999, greatest(-0.9999, sin(radians(lat))))) / (1 - least(0.9999, greatest(-0.9999, sin(radians(lat)))))) / (4 * pi()) AS uy"
 
 

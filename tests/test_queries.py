@@ -31,6 +31,17 @@ def test_query(spark, duck, name):
     assert rows(mine) == rows(theirs)
 
 
+def test_every_point_in_ring(spark):
+    from ambula.plans import fixtures as fx
+
+    b, n = fx.geo_buildings(spark, DIR).toPandas(), fx.geo_nodes(spark, DIR).toPandas()
+    lng, lat = n.lng.to_numpy(), n.lat.to_numpy()
+    want = {(r.building_id, k) for r in b.itertuples() for k in n.node_id[(lng >= r.clng - r.half) & (lng < r.clng + r.half) & (lat >= r.clat - r.half) & (lat < r.clat + r.half)]}
+    found = [tuple(r) for r in catalogue.QUERIES["point_in_ring_all"](spark, DIR).collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    assert any(a % 50 != k % 50 for a, k in want)
+
+
 def test_methods_agree(spark):
     a = {tuple(r) for r in catalogue.QUERIES["sssp_by_rounds"](spark, DIR).collect()}
     b = {tuple(r) for r in catalogue._labels(spark, DIR).collect()}

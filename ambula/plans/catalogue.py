@@ -16,6 +16,7 @@ from ambula.plans.fixtures import sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+#: The box of the SQL. Nodes grow north out of it, from sf0.1 on; queries without SQL use _grid().
 GRID = raster.Grid.over((-0.1005, 51.4995, -0.0520, 51.5300), 40.0)
 _KX = walk.KX * __import__("math").cos(__import__("math").radians(GRID.mid_lat))
 fx.CTE["grid"] = "SELECT " + ", ".join(f"CAST('{v!r}' AS DOUBLE) AS {n}" for n, v in (("west", GRID.west), ("north", GRID.north), ("dlng", GRID.dlng), ("dlat", GRID.dlat), ("kx", _KX))) + f", {GRID.w} AS w, {GRID.h} AS h"
@@ -273,8 +274,13 @@ def snap_radius(spark, d):
     return near.select("building_id", "node_id", F.round(F.col("dist_m") * 1000).cast("bigint").alias("dist_mm"))
 
 
-def _cells(spark, d) -> DataFrame:
-    return raster.build_grid(GRID, fx.geo_nodes(spark, d))
+def _grid(spark, d) -> raster.Grid:
+    """The grid over all nodes, as run_city has it."""
+    return raster.Grid.over(raster.extent(fx.geo_nodes(spark, d)), 40.0)
+
+
+def _cells(spark, d, grid: raster.Grid = GRID) -> DataFrame:
+    return raster.build_grid(grid, fx.geo_nodes(spark, d))
 
 
 @query(sql("SELECT cell, y, x, node_id FROM cells", "cells"))
@@ -287,8 +293,8 @@ def coverage(spark, d):
     return _cells(spark, d).agg(F.count(F.lit(1)).alias("n_cells"), F.count("node_id").alias("n_near"))
 
 
-def _labelled(spark, d) -> DataFrame:
-    return raster.label_cells(_cells(spark, d), _labels(spark, d))
+def _labelled(spark, d, grid: raster.Grid = GRID) -> DataFrame:
+    return raster.label_cells(_cells(spark, d, grid), _labels(spark, d))
 
 
 @query(sql("SELECT CAST(type_id AS VARCHAR) AS type_id, pid, count(*) AS n_cells FROM labelled GROUP BY type_id, pid", "labelled"))
@@ -357,12 +363,14 @@ def bilinear_elev(spark, d):
 
 @query()
 def dir_paint(spark, d):
-    return raster.direction_cells(GRID, _cells(spark, d), _labels(spark, d), fx.geo_nodes(spark, d))
+    grid = _grid(spark, d)
+    return raster.direction_cells(grid, _cells(spark, d, grid), _labels(spark, d), fx.geo_nodes(spark, d))
 
 
 @query()
 def absorbed_cells(spark, d):
-    return raster.absorb(_labelled(spark, d), GRID, 6)
+    grid = _grid(spark, d)
+    return raster.absorb(_labelled(spark, d, grid), grid, 6)
 
 
 # ---- polygons and tiles ----
@@ -454,14 +462,16 @@ def directory_deltas(spark, d):
 
 @query()
 def polygons_smoothed(spark, d):
-    shapes = polygons.catchments(_labelled(spark, d), GRID)
+    grid = _grid(spark, d)
+    shapes = polygons.catchments(_labelled(spark, d, grid), grid)
     return shapes.select("type_id", "pid", "color", F.size("polygons").alias("n_polygons"), F.to_json("polygons").alias("rings"))
 
 
 @query()
 def mvt_tiles(spark, d):
     b = _ring(spark, d).select("building_id", F.array("ring").alias("rings"), F.col("clng").alias("lng"), F.col("clat").alias("lat"))
-    labels = raster.building_labels(b.select("building_id", "lng", "lat"), GRID, _cells(spark, d), _labels(spark, d), fx.geo_nodes(spark, d))
+    grid = _grid(spark, d)
+    labels = raster.building_labels(b.select("building_id", "lng", "lat"), grid, _cells(spark, d, grid), _labels(spark, d), fx.geo_nodes(spark, d))
     labels = labels.withColumn("c", colour.building_colour(colour.class_colour(F.col("pid")), F.col("t")))
     found = tiles.building_tiles(tiles.tile_geometries(b.select("building_id", "rings")), labels)
     return found.select("type_id", "z", "x", "y", F.length("data").alias("n_bytes"), F.sha2("data", 256).alias("sha256"))

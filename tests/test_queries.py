@@ -42,6 +42,18 @@ def test_every_point_in_ring(spark):
     assert any(a % 50 != k % 50 for a, k in want)
 
 
+def test_grid_over_all_nodes(spark):
+    """At sf0.1 most nodes lie north of the box of the SQL; directions and patches reach the last rows of all nodes."""
+    d = "/root/testdata/sf0.1"
+    grid = catalogue._grid(spark, d)
+    west, south, east, north = grid.bbox()
+    box = catalogue.raster.extent(catalogue.fx.geo_nodes(spark, d))
+    assert west <= box[0] and south <= box[1] and east >= box[2] and north >= box[3]
+    for name in ("dir_paint", "absorbed_cells"):
+        y = [r.y for r in catalogue.QUERIES[name](spark, d).select("y").distinct().collect()]
+        assert min(y) < 5 and max(y) > grid.h - 5 and len(y) > 0.9 * grid.h
+
+
 def test_methods_agree(spark):
     a = {tuple(r) for r in catalogue.QUERIES["sssp_by_rounds"](spark, DIR).collect()}
     b = {tuple(r) for r in catalogue._labels(spark, DIR).collect()}

@@ -460,6 +460,21 @@ def directory_deltas(spark, d):
     return t.select("id", "offset_", F.when(follows, 0).otherwise(F.col("offset_") + 1).alias("stored"), (F.col("id") - F.coalesce(F.lag("id").over(w), F.lit(0))).alias("step"))
 
 
+@query()
+def archive_directories(spark, d):
+    """The directory of each row of the lattice as one archive, of all nodes; directory_deltas and its SQL have the row gy = 1 only."""
+
+    def run(pdf):
+        pdf, at, places = pdf.sort_values("id"), 0, []
+        for i, n in zip(pdf.id.tolist(), pdf.n.tolist()):
+            places.append((i, at, n))
+            at += n
+        return pdf[["gy"]].head(1).assign(n_tiles=len(places), directory=tiles.archive_directory(places))
+
+    t = fx.geo_nodes(spark, d).select("gy", F.col("node_id").alias("id"), (F.col("gx") + 1).cast("bigint").alias("n"))
+    return t.groupBy("gy").applyInPandas(run, "gy int, n_tiles long, directory binary")
+
+
 @query()
 def polygons_smoothed(spark, d):
     grid = _grid(spark, d)

@@ -54,6 +54,27 @@ def test_grid_over_all_nodes(spark):
         assert min(y) < 5 and max(y) > grid.h - 5 and len(y) > 0.9 * grid.h
 
 
+def test_archive_directories(spark):
+    """Every node is in the directory of its row, as written by tiles.archive_directory; decoded by hand."""
+    import gzip
+
+    nodes = catalogue.fx.geo_nodes(spark, DIR).toPandas().sort_values("node_id")
+    found = catalogue.QUERIES["archive_directories"](spark, DIR).collect()
+    assert sorted(r.gy for r in found) == sorted(set(nodes.gy)) and sum(r.n_tiles for r in found) == len(nodes)
+    for r in found:
+        numbers, shift = [0], 0
+        for b in gzip.decompress(r.directory):
+            numbers[-1] |= (b & 127) << shift
+            shift += 7
+            if b < 128:
+                numbers.append(0)
+                shift = 0
+        own, n = nodes[nodes.gy == r.gy], r.n_tiles
+        ids, lengths = own.node_id.tolist(), (own.gx + 1).tolist()
+        steps = [b - a for a, b in zip([0, *ids], ids)]
+        assert numbers[:-1] == [n, *steps, *[1] * n, *lengths, 1, *[0] * (n - 1)]
+
+
 def test_methods_agree(spark):
     a = {tuple(r) for r in catalogue.QUERIES["sssp_by_rounds"](spark, DIR).collect()}
     b = {tuple(r) for r in catalogue._labels(spark, DIR).collect()}

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text handed to a tokenizer at once; longer texts are cut where a cut cannot change the tokens.
 PIECE_CHARS = 1_000_000
@@ -14,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def safe_pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
     """The text in pieces of about limit characters, cut before single spaces between other characters only."""
     start = 0

@@ -8,10 +8,14 @@ The join is exact. Equal sets are one class at once. For the others:
    The number of parts follows the class of the smaller size; a set near the lower end of its class also gives the
    signatures of the class below. A set with fewer full parts also gives its shingles of least hash, one more than may
    differ (linked sets that both do so share one of these).
-2. Of the sets with a common signature each is compared with the least one, its leader, and components are formed.
+2. Of the sets with a common signature each is compared with the least one, its leader, and components are formed. Before
+   their sets are fetched, a sketch drops pairs that cannot link: a bit for each of at least twice as many places as the
+   set has shingles, set if an odd number of them falls there. Bits that differ between two sketches are at most as many
+   as the shingles that differ, so no link is lost.
 3. Token-group matrix: sets with a common leader are one group, dealt by hash to blocks of at most BLOCK on average, so
-   any two sets with a common signature are in some group together. Groups of one component are done. In the others each
-   block has the union of its members' shingles as rows of a matrix with the members as columns. A set can only link to a block if its overlap
+   any two sets with a common signature are in some group together. Groups of one component are done. Of the others, members
+   whose sketches leave no partner of another component in the group go. Each block of the rest has the union of its
+   members' shingles as rows of a matrix with the members as columns. A set can only link to a block if its overlap
    with the union is large enough for the block's smallest member; only then the block is opened, and the rows of
    the set's shingles are added up to its overlaps with all members.
 """
@@ -29,12 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ambula.llm.base import quoted
 from ambula.operators.components import connected_components
 from ambula.stages import write_stage
 
 SHINGLE = 3
 RATIO = 90  # of 100
-BLOCK = 256
+#: Members of a block on average at most, by sets and by sketches.
+BLOCK, SKETCH_BLOCK = 256, 4_096
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _ODD = 0xD6E8FEB86659FD93
@@ -145,6 +151,26 @@ def signatures(s: np.ndarray, ratio: int = RATIO) -> np.ndarray:
     return np.concatenate(found).view(np.int64)
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set, as 64-bit words; their number is a power of two."""
+    bits = 1 << max(6, (2 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def fold(words: np.ndarray, size: int) -> np.ndarray:
+    """Sketches (the last axis) at a smaller power of two of words."""
+    while words.shape[-1] > size:
+        half = words.shape[-1] // 2
+        words = words[..., :half] ^ words[..., half:]
+    return words
+
+
+def may_link(differ: np.ndarray, sizes: np.ndarray, ratio: int) -> np.ndarray:
+    """Whether sets may link of whose shingles, `sizes` in both, at least `differ` are in one only."""
+    return (100 + ratio) * differ <= (100 - ratio) * sizes
+
+
 def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
@@ -155,8 +181,9 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
                     part.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "set_hash"],
+                ["doc_id", "n_shingles", "set_hash", "sketch"],
             )
 
 
@@ -178,6 +205,50 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["doc_id", "grams"])
 
 
+def _hopeful(batches: Iterator[pa.RecordBatch], ratio: int) -> Iterator[pa.RecordBatch]:
+    """Of pairs (q, y, sizes and sketches of both) those that may link."""
+    for batch in batches:
+        sizes = batch.column(2).to_numpy() + batch.column(4).to_numpy()
+        differ = np.zeros(batch.num_rows, np.int64)
+        for i, (a, b) in enumerate(zip(batch.column(3).to_pylist(), batch.column(5).to_pylist())):
+            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            size = min(len(a), len(b))
+            differ[i] = np.bitwise_count(fold(a, size) ^ fold(b, size)).sum()
+        keep = pa.array(may_link(differ, sizes, ratio))
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["q", "y"])
+
+
+def _partners(left: pd.DataFrame, right: pd.DataFrame, ratio: int) -> pd.DataFrame:
+    """Members of two blocks of a group that have a possible partner of another component in the other block."""
+    out = {"y": [], "rep": []}
+    if len(left) and len(right):
+        own, sizes, reps = right.component_.to_numpy(), right.n_shingles_.to_numpy(), right.rep_.to_numpy()
+        words = [np.frombuffer(w, np.uint64) for w in right.sketch_]
+        widths = np.fromiter(map(len, words), np.int64, len(words))
+        tables = {int(w): (at := np.flatnonzero(widths == w), np.stack([words[i] for i in at])) for w in np.unique(widths)}
+        folded: dict[tuple[int, int], np.ndarray] = {}
+        found = np.zeros(len(right), bool)
+        mine = []
+        for rep, component, n, data in zip(left.rep, left.component, left.n_shingles, left.sketch):
+            a, hit = np.frombuffer(data, np.uint64), False
+            for width, (at, table) in tables.items():
+                size = min(width, len(a))
+                if (width, size) not in folded:
+                    folded[width, size] = fold(table, size)
+                close = (own[at] != component) & (100 * np.minimum(sizes[at], n) >= ratio * np.maximum(sizes[at], n))
+                near = at[close]
+                if len(near):
+                    differ = np.bitwise_count(folded[width, size][close] ^ fold(a, size)).sum(1, dtype=np.int64)
+                    near = near[may_link(differ, sizes[near] + n, ratio)]
+                    found[near] = True
+                    hit = hit or bool(len(near))
+            if hit:
+                mine.append(rep)
+        out["rep"] = [*mine, *reps[found].tolist()]
+        out["y"] = [left.y.iloc[0]] * len(out["rep"])
+    return pd.DataFrame(out).astype("int64")
+
+
 class TokenGroup:
     """The token-group matrix of a block, by rows: for each shingle of the union the members that hold it."""
 
@@ -237,6 +308,20 @@ def _sets_of(docs: DataFrame, ids: DataFrame, name: str, size: int) -> DataFrame
     return write_stage(chosen.mapInArrow(partial(_sets, size=size), "doc_id long, grams array<long>"), name)
 
 
+def _blocks(members: DataFrame, block: int) -> DataFrame:
+    """members(y, rep, ..) with a block number, and how many blocks their group has: by hash, so that no task numbers them."""
+    sizes = members.groupBy("y").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n_blocks"))
+    return members.join(sizes, "y").withColumn("block", F.pmod(F.xxhash64("rep", "y"), "n_blocks").cast("int"))
+
+
+def _block_pairs(held: DataFrame, columns: list[str]):
+    """The members of groups for every pair of blocks, grouped on both sides."""
+    left = held.select("y", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("n_blocks") - 1)).alias("j"), *columns)
+    right = held.select("y", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"), *columns)
+    right = right.toDF(*[f"{c}_" for c in right.columns])
+    return left.groupBy("y", "i", "j").cogroup(right.groupBy("y_", "i_", "j_"))
+
+
 def join_documents(docs: DataFrame, size: int = SHINGLE, ratio: int = RATIO) -> DataFrame:
     """A row of docs(doc_id, text) each: doc_id, n_shingles, and component_id, the smallest doc_id reachable by links.
 
@@ -247,33 +332,38 @@ def join_documents(docs: DataFrame, size: int = SHINGLE, ratio: int = RATIO) ->
     each row's set links it, and comparisons use any one). Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    signed = write_stage(docs.mapInArrow(partial(_signed, size=size), "doc_id long, n_shingles long, set_hash binary"), "signed")
+    signed = write_stage(docs.mapInArrow(partial(_signed, size=size), "doc_id long, n_shingles long, set_hash binary, sketch binary"), "signed")
     classes = write_stage(signed.where("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "classes")
     # signatures are made anew from the texts and dealt once: they are most of the disk
     reps = docs.join(classes.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
     mark = W.partitionBy("mark")
     shared = reps.mapInArrow(partial(_marks, size=size, ratio=ratio), "mark long, rep long").withColumn("y", F.min("rep").over(mark))
     pairs = write_stage(shared.where("rep <> y").select(F.col("rep").alias("q"), "y").distinct(), "pairs")
+    # what is known of each set in a pair; of several texts of one doc_id any
     ids = pairs.select(F.explode(F.array("q", "y")).alias("doc_id")).distinct()
-    sets = _sets_of(docs, ids, "sets", size)
-    links = write_stage(_linked(pairs, sets, ratio), "links")
+    known = signed.where("set_hash is not null").join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct("n_shingles", "sketch")).alias("k"))
+    known = write_stage(known.select("doc_id", "k.*"), "sketches")
+    both = pairs.join(known.toDF("q", "n_q", "sketch_q"), "q").join(known.toDF("y", "n_y", "sketch_y"), "y")
+    both = both.where(100 * F.least("n_q", "n_y") >= ratio * F.greatest("n_q", "n_y")).select("q", "y", "n_q", "sketch_q", "n_y", "sketch_y")
+    hopeful = write_stage(both.mapInArrow(partial(_hopeful, ratio=ratio), "q long, y long"), "hopeful")
+    sets = _sets_of(docs, hopeful.select(F.explode(F.array("q", "y")).alias("doc_id")).distinct(), "sets", size)
+    links = write_stage(_linked(hopeful, sets, ratio), "links")
     first = connected_components(links, "q", "y") if not links.isEmpty() else links.select(F.col("q").alias("node"), F.col("y").alias("component"))
 
     # groups of more than one component after the first comparisons
     groups = pairs.select("y", F.col("q").alias("rep")).unionByName(pairs.select("y", F.col("y").alias("rep")).distinct())
     groups = groups.join(first, groups.rep == first.node, "left").select("y", "rep", F.coalesce("component", "rep").alias("component"))
     several = groups.groupBy("y").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n_members"))
-    several = several.where("low < high and n_members > 2").select("y", "n_members")  # of two, both have been compared
-    # blocks by hash, so that no task numbers the members of a group
-    members = groups.join(several, "y").withColumn("n_blocks", F.ceil(F.col("n_members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep", "y"), "n_blocks").cast("int"))
-    members = write_stage(members.select("y", "rep", "component", "block", "n_blocks"), "members")
+    several = several.where("low < high and n_members > 2").select("y")  # of two, both have been compared
+    members = write_stage(groups.join(several, "y").select("y", "rep", "component"), "members")
     final = first
     if not members.isEmpty():
-        held = members.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-        left = held.select("y", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("n_blocks") - 1)).alias("j"), "rep", "component", "grams")
-        right = held.select("y", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"), "rep", "component", "grams")
-        right = right.toDF("y_", "i_", "j_", "rep_", "component_", "grams_")
-        more = left.groupBy("y", "i", "j").cogroup(right.groupBy("y_", "i_", "j_")).applyInPandas(lambda a, b: _cross(a, b, ratio), "q long, y long")
+        held = _blocks(members, SKETCH_BLOCK).join(known.withColumnRenamed("doc_id", "rep"), "rep")
+        near = _block_pairs(held, ["rep", "component", "n_shingles", "sketch"]).applyInPandas(lambda a, b: _partners(a, b, ratio), "y long, rep long")
+        members = write_stage(members.join(near.distinct(), ["y", "rep"], "left_semi"), "members")
+        sets = _sets_of(docs, members.select(F.col("rep").alias("doc_id")).distinct(), "sets", size)
+        held = _blocks(members, BLOCK).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+        more = _block_pairs(held, ["rep", "component", "grams"]).applyInPandas(lambda a, b: _cross(a, b, ratio), "q long, y long")
         more = write_stage(more, "more")
         if not more.isEmpty():
             final = connected_components(links.unionByName(more), "q", "y")
@@ -286,4 +376,5 @@ def join_documents(docs: DataFrame, size: int = SHINGLE, ratio: int = RATIO) ->
 def keep_one(docs: DataFrame, size: int = SHINGLE, ratio: int = RATIO) -> DataFrame:
     """docs less all documents of a component but the one of the smallest doc_id; null doc_ids stay."""
     drop = join_documents(docs, size, ratio).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    keyed = docs.select("doc_id", F.struct(*map(quoted, docs.columns)).alias("row"))  # names of other columns stay out of the way
+    return keyed.join(drop, "doc_id", "left_anti").select("row.*")

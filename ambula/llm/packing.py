@@ -38,8 +38,9 @@ class WordEncoder:
     """Ids by a tokenizer that drops white space, word by word, with a bounded cache.
 
     Words are cut at spaces and line ends only, which the tokenizer drops and never merges across, after A-Z are
-    lower-cased, which the tokenizer does too. Words of letters alone are one unit with one final token each, so many can
-    be encoded as one text and told apart by final tokens.
+    lower-cased, which the tokenizer does too. Words of letters alone are mostly one unit with one final token each, so many
+    can be encoded as one text and told apart by final tokens. A comma or stop after such a word is a unit of its own;
+    where the normalizer makes letters and marks of a letter there are more units, and the word is encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -82,8 +83,13 @@ class WordEncoder:
             else:
                 self.words.update(zip(group, self._ids([w.decode("utf-8", "surrogatepass") for w in group])))
         self.words.update(zip(other, self._ids([w.decode("utf-8", "surrogatepass") for w in other])))
+        whole = []
         for word, (stem, mark) in cut.items():
-            self.words[word] = self.words[stem] + mark
+            if not mark or self.final[np.frombuffer(self.words[stem], "<u4")].sum() == 1:
+                self.words[word] = self.words[stem] + mark
+            else:
+                whole.append(word)
+        self.words.update(zip(whole, self._ids([w.decode("utf-8", "surrogatepass") for w in whole])))
 
     def __call__(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""

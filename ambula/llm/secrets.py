@@ -7,8 +7,8 @@ Base kinds (leftmost non-overlapping per kind):
 The method adds
   entropy candidate strings (20 or more of A-Za-z0-9+/_=-) some window of WINDOW characters of which has a Shannon
           entropy of at least the threshold of its character class, unless an allow-list pattern fits the candidate.
-          The entropy is kept by incremental counts: a step changes the sum of c*log2(c) for the leaving and the
-          entering character only.
+          The counts of a window's characters are kept as a string, a character for each count; a step changes it, and
+          the sum of c*log2(c), for the leaving and the entering character only.
 
 Spans are in code points from 0, the end exclusive. Null texts count as empty.
 """
@@ -16,10 +16,14 @@ Spans are in code points from 0, the end exclusive. Null texts count as empty.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ambula.llm.base import quoted
+
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # greedy runs of 20 or more: the same matches as `AKIA[A-Z0-9]+` less the short ones
@@ -27,9 +31,15 @@ HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: Bits per character. A window of 20 has at most log2(20) = 4.32.
-THRESHOLDS = {"hex": 2.8, "mixed": 3.5}
-#: Class of a candidate: hex digits only with both letters and digits; else upper, lower and digits all present. Others (words) have none.
-CLASSES = (("hex", r"^(?=.*[0-9])(?=.*[a-fA-F])[0-9a-fA-F]+$"), ("mixed", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])"))
+THRESHOLDS = {"hex": 2.8, "mixed": 3.5, "lower": 3.3, "upper": 3.3}
+#: Class of a candidate, the first that fits: hex digits with both letters and digits; upper, lower and digits all present;
+#: lower case or upper case only, with three or more digits and nothing else. Others (words) have none.
+CLASSES = (
+    ("hex", (r"^[0-9a-fA-F]+$", r"[0-9]", r"[a-fA-F]")),
+    ("mixed", (r"[0-9]", r"[A-Z]", r"[a-z]")),
+    ("lower", (r"^[0-9a-z]+$", r"[0-9].*[0-9].*[0-9]", r"[a-z]")),
+    ("upper", (r"^[0-9A-Z]+$", r"[0-9].*[0-9].*[0-9]", r"[A-Z]")),
+)
 #: Known harmless strings: UUIDs, paths of words, documented example keys, runs of one character, alphabets.
 ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
@@ -44,53 +54,62 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _spans(text: Column, matches: Column, kind: str) -> Column:
-    """Places of matches, which are in order and do not overlap, as array<struct<start,kind_no,end>>.
-
-    The first place of a match's string after the end of the match before is the match itself: the pattern looks at
-    nothing but the string, so an earlier place would have been matched.
-    """
+def _spans(text: Column, matches: Column, kind: str, pattern: str) -> Column:
+    """Places of the matches of a pattern, as array<struct<start,kind_no,end>>, by the lengths of what lies between them."""
     empty = F.array().cast("array<struct<start:int,kind_no:int,end:int>>")
 
-    def step(acc, m):
-        at = F.position(m, text, acc["pos"])
-        end = at + F.char_length(m)
-        span = F.struct((at - 1).alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), (end - 1).alias("end"))
-        return F.struct(end.alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    def step(acc, m):  # spans are added in blocks, as an addition copies what there is
+        at = acc["pos"] + F.char_length(m["gap"])
+        end = at + F.char_length(m["match"])
+        span = F.array(F.struct(at.alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), end.alias("end")))
+        full = F.size(acc["block"]) >= 256
+        spans = F.when(full, F.concat(acc["spans"], acc["block"])).otherwise(acc["spans"])
+        return F.struct(end.alias("pos"), F.when(full, span).otherwise(F.concat(acc["block"], span)).alias("block"), spans.alias("spans"))
 
-    start = F.struct(F.lit(1).alias("pos"), empty.alias("spans"))
-    return F.when(F.size(matches) == 0, empty).otherwise(F.aggregate(matches, start, step, lambda acc: acc["spans"]))
+    start = F.struct(F.lit(0).alias("pos"), empty.alias("block"), empty.alias("spans"))
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
+    zipped = F.arrays_zip(gaps.alias("gap"), matches.alias("match"))
+    return F.when(F.size(matches) == 0, empty).otherwise(F.aggregate(zipped, start, step, lambda acc: F.concat(acc["spans"], acc["block"])))
 
 
-def _gain(count: Column) -> Column:
-    """What a further character adds to the sum of c*log2(c) if count are there."""
-    c = count.cast("double")
-    return (c + 1) * F.log2(c + 1) - F.when(c > 0, c * F.log2(F.greatest(c, F.lit(1.0)))).otherwise(F.lit(0.0))
+#: What a further character adds to the sum of c*log2(c) if c are there already.
+_GAIN = [(c + 1) * math.log2(c + 1) - (c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)]
+#: The character of count 0 in the string of counts, one for each ASCII character.
+_ZERO = "@"
 
 
 def peak_entropy(candidate: Column) -> Column:
-    """The largest entropy of any window of WINDOW characters, in bits per character, by incremental counts."""
+    """The largest entropy of any window of WINDOW characters of an ASCII string of at least as many, in bits per character."""
+    gains = F.array(*map(F.lit, _GAIN))
+
+    def code(i):  # places in the string of counts, from 1
+        return F.ascii(F.substring(candidate, i, F.lit(1)))
+
+    def count(counts, place):
+        return F.ascii(F.substring(counts, place, F.lit(1))) - ord(_ZERO)
+
+    def put(counts, place, n):
+        return F.overlay(counts, F.char(n + ord(_ZERO)), place, F.lit(1))
 
-    def count(window, ch):
-        return F.size(F.filter(window, lambda x: x == ch))
+    def leave(acc, i):
+        def one(place):
+            return _let(count(acc["counts"], place) - 1, lambda n: F.struct(put(acc["counts"], place, n).alias("counts"), (acc["sum"] - F.get(gains, n)).alias("sum"), acc["least"].alias("least")))
 
-    def over(chars):
-        def grow(acc, i):
-            ch = F.get(chars, i)
-            return acc + _gain(count(F.slice(chars, F.lit(1), i), ch))
+        return F.when(i > WINDOW, _let(code(i - WINDOW), one)).otherwise(acc)
 
-        first = F.aggregate(F.sequence(F.lit(0), F.lit(WINDOW - 1)), F.lit(0.0), grow)
+    def enter(acc, i):
+        def one(place):
+            def two(n):
+                total = acc["sum"] + F.get(gains, n)
+                return F.struct(put(acc["counts"], place, n + 1).alias("counts"), total.alias("sum"), F.when(i >= WINDOW, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"))
 
-        def slide(acc, i):  # the window from i leaves for that from i + 1
-            kept = F.slice(chars, i + 2, F.lit(WINDOW - 1))
-            now = acc["sum"] - _gain(count(kept, F.get(chars, i))) + _gain(count(kept, F.get(chars, i + WINDOW)))
-            return F.struct(now.alias("sum"), F.least(acc["least"], now).alias("least"))
+            return _let(count(acc["counts"], place), two)
 
-        start = _let(first, lambda s: F.struct(s.alias("sum"), s.alias("least")))
-        more = F.when(F.size(chars) > WINDOW, F.sequence(F.lit(0), F.greatest(F.size(chars) - WINDOW - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(more, start, slide, lambda acc: F.lit(math.log2(WINDOW)) - acc["least"] / WINDOW)
+        return _let(code(i), one)
 
-    return _let(F.split(candidate, ""), over)
+    start = F.struct(F.lit(_ZERO * 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(math.inf).alias("least"))
+    step = lambda acc, i: _let(leave(acc, i), lambda left: enter(left, i))
+    return F.aggregate(F.sequence(F.lit(1), F.char_length(candidate)), start, step, lambda acc: F.lit(math.log2(WINDOW)) - acc["least"] / WINDOW)
 
 
 def _entropy_hit(c: Column) -> Column:
@@ -98,8 +117,9 @@ def _entropy_hit(c: Column) -> Column:
     for pattern in ALLOW:
         allowed = allowed | c.rlike(pattern)
     limit = F.lit(None).cast("double")
-    for name, pattern in reversed(CLASSES):
-        limit = F.when(c.rlike(pattern), F.lit(THRESHOLDS[name])).otherwise(limit)
+    for name, patterns in reversed(CLASSES):
+        fits = reduce(and_, (c.rlike(p) for p in patterns))
+        limit = F.when(fits, F.lit(THRESHOLDS[name])).otherwise(limit)
     return F.when(limit.isNull() | allowed, F.lit(False)).otherwise(peak_entropy(c) >= limit)
 
 
@@ -116,11 +136,11 @@ def find_spans(docs: DataFrame) -> DataFrame:
     out = out.withColumn("m_hex", F.regexp_extract_all(t, F.lit(HEX), F.lit(0)))
     out = out.withColumn("m_entropy", F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0)))
     none = F.array().cast("array<string>")
-    spans_assign = _spans(t, F.transform(F.coalesce(F.col("m_assign"), F.array().cast("array<struct<w:string,v:string>>")), lambda m: m["w"]), "assign")
+    spans_assign = _spans(t, F.transform(F.coalesce(F.col("m_assign"), F.array().cast("array<struct<w:string,v:string>>")), lambda m: m["w"]), "assign", ASSIGN)
     kept = F.filter(F.arrays_zip(spans_assign.alias("s"), F.col("m_assign").alias("m")), lambda x: F.char_length(x["m"]["v"]) >= 6)
     out = out.withColumn("s_assign", F.when(F.col("m_assign").isNull(), F.array().cast("array<struct<start:int,kind_no:int,end:int>>")).otherwise(F.transform(kept, lambda x: x["s"])))
-    out = out.withColumn("s_access", _spans(t, F.coalesce(F.col("m_access"), none), "access")).withColumn("s_hex", _spans(t, F.col("m_hex"), "hex"))
-    located = _spans(t, F.col("m_entropy"), "entropy")
+    out = out.withColumn("s_access", _spans(t, F.coalesce(F.col("m_access"), none), "access", ACCESS)).withColumn("s_hex", _spans(t, F.col("m_hex"), "hex", HEX))
+    located = _spans(t, F.col("m_entropy"), "entropy", CANDIDATE)
     hits = F.filter(F.arrays_zip(located.alias("s"), F.col("m_entropy").alias("m")), lambda x: _entropy_hit(x["m"]))
     out = out.withColumn("s_entropy", F.transform(hits, lambda x: x["s"]))
     out = out.withColumn("base", F.array_sort(F.concat("s_assign", "s_access", "s_hex")))
@@ -150,9 +170,9 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
 
 def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """docs with every span of a secret replaced by mark, overlapping spans as one; n_chars follows. Other texts stay as they are."""
-    names = docs.columns
-    found = find_spans(docs.select("*", F.lit(0).alias("_")).select(F.struct(*map(F.col, names)).alias("row"), F.col("text")))
+    """docs with every span of a secret replaced by mark, overlapping spans as one; n_chars follows. Other texts stay as they
+    are, and so do other columns, whatever their names. Null texts stay null; no rows give no rows."""
+    found = find_spans(docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), "text"))
     t = F.col("scanned")
 
     def step(acc, s):
@@ -163,5 +183,6 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("text"))
     whole = F.aggregate(F.col("found"), start, step, lambda acc: F.concat(acc["text"], F.substring(t, acc["pos"] + 1, F.char_length(t))))
     out = found.withColumn("clean", F.when(F.size("found") == 0, F.col("text")).otherwise(whole))
-    columns = [F.col("clean").alias(c) if c == "text" else F.when(F.size("found") == 0, F.col("row")[c]).otherwise(F.char_length("clean").cast("long")).alias(c) if c == "n_chars" else F.col("row")[c].alias(c) for c in names]
-    return out.select(*columns)
+    size = F.when(F.size("found") > 0, F.char_length("clean").cast("long"))
+    own = lambda c: F.col("row")[c]
+    return out.select(*[F.col("clean").alias(c) if c == "text" else F.coalesce(size, own(c)).alias(c) if c == "n_chars" else own(c).alias(c) for c in docs.columns])

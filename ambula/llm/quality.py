@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ambula.llm.base import quoted
+
 #: Labelled rows that the model is fitted on at most, those of least hash; and pairs drawn of them.
 SAMPLE_ROWS = 20_000
 PAIRS = 200_000
@@ -109,25 +111,32 @@ def fit_pairs(x: np.ndarray, label: np.ndarray, seed: int = 7, rounds: int = 300
         if np.abs(step).max() < 1e-6:
             break
     s = z @ w
+    threshold = float(np.quantile(s, best_quantile(s, label)))
+    return Model(mean, scale, w, threshold, 1.0)
+
+
+def best_quantile(s: np.ndarray, label: np.ndarray) -> float:
+    """The quantile of the scores whose cut has the largest sum of label 0's share under it and label 1's share from it on."""
     order = np.argsort(s, kind="stable")
-    below = np.concatenate(([0], np.cumsum(label[order] == 0))) / len(bad)  # of label 0, under each cut
-    above = 1 - np.concatenate(([0], np.cumsum(label[order] == 1))) / len(good)
-    quantile = int(np.argmax(below + above)) / len(s)
-    low, high = s[order[max(0, int(quantile * len(s)) - 1)]], s[order[min(len(s) - 1, int(quantile * len(s)))]]
-    return Model(mean, scale, w, float((low + high) / 2), 1.0)
+    below = np.concatenate(([0], np.cumsum(label[order] == 0))) / max(1, (label == 0).sum())
+    above = 1 - np.concatenate(([0], np.cumsum(label[order] == 1))) / max(1, (label == 1).sum())
+    under = int(np.argmax(below + above))  # rows under the cut
+    return min(1.0, max(0.0, (under - 0.5) / max(1, len(s) - 1)))
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out: bool = True, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most sample_rows labelled rows; with held_out, only on such as have crc32(doc_id) mod 3 other than 1.
 
-    Null labels are left out, and so are doc_ids with both labels; of repeated doc_ids one row counts.
+    Null labels are left out, and so are doc_ids with both labels; of several texts of a doc_id that of the least features
+    counts.
     """
     usable = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").select("doc_id", "quality")
     if held_out:
         usable = usable.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)  # the bound proves the broadcast's size
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    fitted = rows.select("doc_id", "text").mapInArrow(_featured, "doc_id long, x array<double>").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text")
+    x = rows.mapInArrow(_featured, "doc_id long, x array<double>").groupBy("doc_id").agg(F.min("x").alias("x"))
+    fitted = x.join(F.broadcast(chosen), "doc_id").orderBy("doc_id").toPandas()
     if not len(fitted):
         n = len(FEATURES)
         return Model(np.zeros(n), np.ones(n), np.zeros(n), 0.0, 1.0)
@@ -135,16 +144,15 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: bool = True, sample_rows
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """A row of docs each, all columns and score_ (0 to 1); null and empty texts have the score of the empty text."""
-    at = docs.columns.index("text")
-    names = [*docs.columns, "score_"]
+    """A row of docs each as (row, score): all its columns, and 0 to 1; null and empty texts have the score of the empty text."""
 
     def run(batches):
         for batch in batches:
-            x = np.array([features(t) for t in batch.column(at).to_pylist()]).reshape(batch.num_rows, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(x), pa.float64())], names)
+            x = np.array([features(t) for t in batch.column(1).to_pylist()]).reshape(batch.num_rows, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(x), pa.float64())], ["row", "score"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score_", T.DoubleType())]))
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), "text")
+    return rows.mapInArrow(run, T.StructType([rows.schema.fields[0], T.StructField("score", T.DoubleType())]))
 
 
 def judge_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -156,13 +164,13 @@ def judge_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     scored = score_documents(docs, learn(docs, labels))
     return scored.select(
-        "doc_id",
-        (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"),
-        F.col("score_").alias("score"),
-        F.when(F.col("score_") >= 0.5, 1).otherwise(0).alias("predicted"),
+        "row.doc_id",
+        (F.crc32(F.col("row.doc_id").cast("string")) % 3 == 1).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs less the rows that score under 0.5."""
-    return score_documents(docs, learn(docs, labels)).where("score_ >= 0.5").select(*docs.columns)
+    """docs less the rows that score under 0.5; all columns stay, whatever their names."""
+    return score_documents(docs, learn(docs, labels)).where("score >= 0.5").select("row.*")

@@ -45,8 +45,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = span_dedup.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.withColumnsRenamed({"sentences_": "n_sentences", "removed_": "n_removed"})
+    return span_dedup.report_spans(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_cross_polytope, op2_winnowing, op3_bradley_terry, op4_byte_bpe, op5_bin_slack, op6_secrets, op7_token_counts, op8_ngram_jaccard, op9_url_filter, op10_sentence_spans)}
@@ -80,6 +79,7 @@ def _secrets_sql() -> str:
     found = " UNION ALL ".join(f"SELECT r, {k} AS k, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS gaps FROM texts" for k, p in enumerate(patterns))
     # the pattern for one character over and over has a back reference, which DuckDB lacks
     allow = " OR ".join(f"regexp_matches(m, '{p}')" for p in secrets.ALLOW if "\\1" not in p)
+    classes = " ".join("WHEN " + " AND ".join(f"regexp_matches(m, '{p}')" for p in fits) + f" THEN {secrets.THRESHOLDS[name]}" for name, fits in secrets.CLASSES)
     names = " ".join(f"WHEN {k} THEN '{name}'" for k, name in enumerate(secrets.KINDS))
     counts = ", ".join(f"count(*) FILTER (k = {k}) AS n_{name}" for k, name in enumerate(secrets.KINDS))
     return f"""
@@ -89,8 +89,7 @@ def _secrets_sql() -> str:
     placed AS (SELECT r, k, m, sum(length(gap) + length(m)) OVER (PARTITION BY r, k ORDER BY i) AS stop FROM matched),
     classed AS (SELECT *, CASE
             WHEN k < 3 OR {allow} OR replace(m, left(m, 1), '') = '' THEN NULL
-            WHEN regexp_full_match(m, '[0-9a-fA-F]+') AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-fA-F]') THEN {secrets.THRESHOLDS["hex"]}
-            WHEN regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') THEN {secrets.THRESHOLDS["mixed"]} END AS threshold FROM placed),
+            {classes} END AS threshold FROM placed),
     kept AS (SELECT r, k, CASE k {names} END || ':' || CAST(stop - length(m) AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span, stop - length(m) AS start FROM classed
         WHERE CASE k WHEN 0 THEN length(regexp_extract(m, '{assign}', 2)) >= 6 WHEN 1 THEN length(m) >= 20 WHEN 2 THEN true
             ELSE threshold IS NOT NULL AND list_max(list_transform(range(1, length(m) - {secrets.WINDOW} + 2), lambda j: list_aggregate(string_split(substring(m, j, {secrets.WINDOW}), ''), 'entropy'))) >= threshold END),

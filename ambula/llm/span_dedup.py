@@ -1,10 +1,18 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences, after . ! ? and following quotes and brackets where white space follows, after the full
-stops of Chinese and Japanese, and at line ends. From every sentence on, and back from every sentence, the shortest run
-of consecutive sentences that has at least MIN_SENTENCES sentences and MIN_WORDS words (or LONG_WORDS words in fewer)
-is a span. Spans are joined over the whole corpus by the hash of their words (A-Z lower-cased, white space ignored). The
-first place of a span, by doc_id and then position, stays; sentences that any other place covers are removed.
+stops of Chinese and Japanese, at line ends, and after every SENTENCE_WORDS words of what is longer. Every run of at least
+MIN_SENTENCES consecutive sentences that has at least MIN_WORDS words counts. Runs are joined over the whole corpus by the
+hash of their sentences (A-Z lower-cased, white space within a sentence as one space). The first place of a run, by doc_id
+and then position, stays; sentences that any other place of a repeated run covers are removed.
+
+Only the shortest run from every sentence on and the shortest back from every sentence are hashed; they are called spans.
+No more are needed: each sentence of a longer run is in a span within the run, as the words from it to the run's end are
+enough for a span from it, or so few that the span back from the run's last sentence covers it; and where a run has an
+earlier place, so have the spans within it.
+
+A sentence has as many words as parts between white space, or as sixteenths of its bytes if that is more, so that text
+without spaces has words.
 
 Heavy hashes, each of at least 1 / HEAVY of all spans, would gather in a few tasks. There are at most HEAVY of them, so
 their first places are broadcast, and the spans of each text are held against them where they are. Only others are joined.
@@ -22,17 +30,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ambula.llm.base import quoted
 from ambula.stages import write_stage
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
-LONG_WORDS = 40
+SENTENCE_WORDS = 20
 #: A hash is heavy if it has at least this part of all spans, so there are no more heavy ones than that.
 HEAVY = 65_536
 #: Stands for a null doc_id: the smallest.
 NULL_ID = -(2**63)
 #: White space after a sentence belongs to it, so that sentences tile the text.
 _ENDS = re.compile(r"""[.!?]["'’”)\]]*\s+|[。！？]\s*|\s*\n\s*""")
+_WORD = re.compile(r"\S+\s*")
+#: Places are held as first sentence << SHIFT + number of the others, of which a span has under MIN_WORDS with words.
+SHIFT = 20
 
 
 def sentence_ends(text: str) -> list[int]:
@@ -40,26 +52,33 @@ def sentence_ends(text: str) -> list[int]:
     ends = [m.end() for m in _ENDS.finditer(text)]
     if text and (not ends or ends[-1] < len(text)):
         ends.append(len(text))
-    return ends
+    out, start = [], 0
+    for end in ends:
+        if end - start > 2 * SENTENCE_WORDS:  # fewer characters hold no more words
+            words = [m.end() for m in _WORD.finditer(text, start, end)]
+            out += words[SENTENCE_WORDS - 1 : -1 : SENTENCE_WORDS]
+        out.append(end)
+        start = end
+    return out
 
 
 def spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First and last sentence of each span, from 0, and its hash; by first, then last sentence."""
     starts = [0, *(ends := sentence_ends(text))]
-    sentences = [text[a:b].encode("utf-8", "surrogatepass").lower().split() for a, b in zip(starts, ends)]
+    sentences = [b" ".join(text[a:b].encode("utf-8", "surrogatepass").lower().split()) for a, b in zip(starts, ends)]
     full = [i for i, s in enumerate(sentences) if s]
+    none = np.empty(0, np.int64)
     if not full:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    counts = np.concatenate(([0], np.cumsum([len(sentences[i]) for i in full])))
-    digest = b"".join(xxhash.xxh3_64_digest(b" ".join(sentences[i])) for i in full)
+        return none, none, none
+    counts = np.concatenate(([0], np.cumsum([max(s.count(b" ") + 1, len(s) // 16) for s in map(sentences.__getitem__, full)])))
+    digest = b"".join(xxhash.xxh3_64_digest(sentences[i]) for i in full)
     n = len(full)
     at = np.arange(n)
-    # ends of runs, exclusive: enough sentences and words, or so many words in fewer
-    end = np.minimum(np.maximum(at + MIN_SENTENCES, np.searchsorted(counts, counts[:-1] + MIN_WORDS)), np.searchsorted(counts, counts[:-1] + LONG_WORDS))
-    start = np.maximum(np.minimum(at + 1 - MIN_SENTENCES, np.searchsorted(counts, counts[1:] - MIN_WORDS, "right") - 1), np.searchsorted(counts, counts[1:] - LONG_WORDS, "right") - 1)
+    end = np.maximum(at + MIN_SENTENCES, np.searchsorted(counts, counts[:-1] + MIN_WORDS))  # exclusive
+    start = np.minimum(at + 1 - MIN_SENTENCES, np.searchsorted(counts, counts[1:] - MIN_WORDS, "right") - 1)
     pairs = np.concatenate((np.stack((at, end), 1)[end <= n], np.stack((start, at + 1), 1)[start >= 0]))
     if not len(pairs):
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return none, none, none
     key = np.unique(pairs[:, 0] * (n + 1) + pairs[:, 1])
     first, last = key // (n + 1), key % (n + 1)
     view, one = memoryview(digest), xxhash.xxh3_64_intdigest
@@ -78,30 +97,25 @@ def _spanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
             found = [spans(t or "") for t in part.column(2).to_pylist()]
-            # first and last in one number: spans are short
-            places = [(a << 20) + np.minimum(b - a, (1 << 20) - 1) for a, b, _ in found]
+            places = [(a << SHIFT) + b - a for a, b, _ in found]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _list(places), _list([h for _, _, h in found])], ["doc_id", "text_hash", "places", "hashes"])
 
 
-def _cut(columns: list[str]):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_text, at_removed = columns.index("text"), len(columns)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts, totals, gone = [], [], []
-                for text, places in zip(part.column(at_text).to_pylist(), part.column(at_removed).to_pylist()):
-                    ends = sentence_ends(text or "")
-                    keep = np.ones(len(ends), bool)
-                    for p in places or ():
-                        keep[p >> 20 : (p >> 20) + (p & ((1 << 20) - 1)) + 1] = False
-                    totals.append(len(ends))
-                    gone.append(int(len(ends) - keep.sum()))
-                    texts.append("".join(text[a:b] for a, b, k in zip([0, *ends], ends, keep) if k) if gone[-1] else text)
-                arrays = [pa.array(texts, pa.string()) if i == at_text else part.column(i) for i in range(len(columns))]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(totals, pa.int64()), pa.array(gone, pa.int64())], [*columns, "sentences_", "removed_"])
-
-    return cut
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, text, places) to (row, text without the places' sentences, number of sentences, how many went)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            texts, totals, gone = [], [], []
+            for text, places in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                ends = sentence_ends(text or "")
+                keep = np.ones(len(ends), bool)
+                for p in places or ():
+                    keep[p >> SHIFT : (p >> SHIFT) + (p & ((1 << SHIFT) - 1)) + 1] = False
+                totals.append(len(ends))
+                gone.append(int(len(ends) - keep.sum()))
+                texts.append("".join(text[a:b] for a, b, k in zip([0, *ends], ends, keep) if k) if gone[-1] else text)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), pa.array(totals, pa.int64()), pa.array(gone, pa.int64())], ["row", "text", "n_sentences", "n_removed"])
 
 
 def _each(spanned: DataFrame) -> DataFrame:
@@ -157,19 +171,29 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return light.unionByName(known).groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("places")).alias("places"))
 
 
-def dedup_spans(docs: DataFrame) -> DataFrame:
-    """docs with the sentences of repeated spans removed from text, and sentences_ and removed_, their numbers.
+def _deduped(docs: DataFrame) -> DataFrame:
+    """row (all columns of docs), text, n_sentences and n_removed."""
+    keyed = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), "text", F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    met = keyed.join(repeated_spans(docs), ["doc_id", "text_hash"], "left").select("row", "text", "places")
+    row = T.StructField("row", met.schema["row"].dataType)
+    return met.mapInArrow(_cut, T.StructType([row, T.StructField("text", T.StringType()), T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())]))
+
+
+def dedup_spans(docs: DataFrame, drop_empty: bool = False) -> DataFrame:
+    """docs with the sentences of repeated spans removed from text; n_chars follows the text where sentences went.
 
     Null and empty texts stay as they are; so do texts without spans. Rows with the same doc_id and text count as one
-    document and stay alike. Null doc_ids count as the smallest. Other columns stay; n_chars follows the text where
-    sentences went. No rows give no rows.
+    document and stay alike. Null doc_ids count as the smallest. Other columns stay, whatever their names; no rows give no
+    rows. With drop_empty documents of which all sentences went are left out.
     """
-    names = docs.columns
-    keyed = docs.withColumns({"join_id_": F.coalesce("doc_id", F.lit(NULL_ID)), "join_hash_": F.xxhash64("text")})
-    later = repeated_spans(docs).select(F.col("doc_id").alias("join_id_"), F.col("text_hash").alias("join_hash_"), F.col("places").alias("places_"))
-    met = keyed.join(later, ["join_id_", "join_hash_"], "left").select(*names, "places_")
-    schema = T.StructType([*docs.schema.fields, T.StructField("sentences_", T.LongType()), T.StructField("removed_", T.LongType())])
-    out = met.mapInArrow(_cut(names), schema)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("removed_") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out
+    out = _deduped(docs)
+    if drop_empty:
+        out = out.where("n_removed = 0 or n_removed < n_sentences")
+    size = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long"))
+    own = lambda c: F.col("row")[c]
+    return out.select(*[F.col("text") if c == "text" else F.coalesce(size, own(c)).alias(c) if c == "n_chars" else own(c).alias(c) for c in docs.columns])
+
+
+def report_spans(docs: DataFrame) -> DataFrame:
+    """doc_id, text, n_sentences and n_removed of every row of docs(doc_id, text), as dedup_spans() leaves them."""
+    return _deduped(docs.select("doc_id", "text")).select(F.col("row.doc_id"), "text", "n_sentences", "n_removed")

@@ -20,8 +20,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sentences of repeated spans go but for their first place; documents of which nothing is left go."""
-    out = span_dedup.dedup_spans(docs)
-    return out.where("not (removed_ > 0 and removed_ = sentences_)").select(*docs.columns)
+    return span_dedup.dedup_spans(docs, drop_empty=True)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

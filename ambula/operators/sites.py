@@ -10,6 +10,7 @@ from ambula.functions.names import normalize, similar
 from ambula.functions.walk import KY, haversine_m
 from ambula.operators.components import connected_components
 from ambula.operators.knn import nearest_other
+from ambula.stages import write_stage
 
 GROUP_RADIUS_M = 100.0
 #: Fewer sites than these are too few, or marginal.
@@ -65,7 +66,7 @@ def verdict(n: Column) -> Column:
 
 def analyze(features: DataFrame, mid_lat: float) -> DataFrame:
     """(type_id, n_features, n_sites, spacing_m, verdict) of each type that has features."""
-    sites = group_sites(features)
+    sites = write_stage(group_sites(features), "sites")
     spacing = upper_median("dist_m", ["type_id"], nearest_other(sites, "pid", "type_id", mid_lat), "spacing_m")
     raw = features.groupBy("type_id").agg(F.count(F.lit(1)).alias("n_features"))
     n = sites.groupBy("type_id").agg(F.count(F.lit(1)).alias("n_sites"))

@@ -13,13 +13,17 @@ from ambula.functions.rules import compile_rule, matching_types
 from ambula.operators import components, extract, graph, knn, polygons, raster, sites, tiles
 from ambula.plans import fixtures as fx
 from ambula.plans.fixtures import sql
+from ambula.stages import write_stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-#: The box of the SQL. Nodes grow north out of it, from sf0.1 on; queries without SQL use _grid().
-GRID = raster.Grid.over((-0.1005, 51.4995, -0.0520, 51.5300), 40.0)
-_KX = walk.KX * __import__("math").cos(__import__("math").radians(GRID.mid_lat))
-fx.CTE["grid"] = "SELECT " + ", ".join(f"CAST('{v!r}' AS DOUBLE) AS {n}" for n, v in (("west", GRID.west), ("north", GRID.north), ("dlng", GRID.dlng), ("dlat", GRID.dlat), ("kx", _KX))) + f", {GRID.w} AS w, {GRID.h} AS h"
+CELL_M = 40.0
+_MID = "CAST('0.017453292519943295' AS DOUBLE) * {} "  # radians
+fx.CTE["grid"] = f"""SELECT *, CAST('{walk.KX!r}' AS DOUBLE) * cos({_MID.format("(north - h * dlat / 2)")}) AS kx FROM
+    (SELECT *, CAST(greatest(1, ceil((east - west) / dlng)) AS INT) AS w, CAST(greatest(1, ceil((north - south) / dlat)) AS INT) AS h FROM
+    (SELECT *, {CELL_M} / CAST('{walk.KY!r}' AS DOUBLE) AS dlat, {CELL_M} / (CAST('{walk.KX!r}' AS DOUBLE) * cos({_MID.format("((south + north) / 2)")})) AS dlng FROM
+    (SELECT min(lng) AS west, min(lat) AS south, max(lng) AS east, max(lat) AS north FROM geo_nodes)))"""
+fx.NEEDS["grid"] = ["geo_nodes"]
 TYPES = parse_feature_types(
     [
         {"id": "supermarket", "name": "Supermarkets", "match": {"all": [{"key": "shop", "in": ["supermarket"]}, {"key": "brand", "exists": True}]}, "variants": {"uk": {"match": {"key": "shop", "in": ["supermarket"]}}}},
@@ -132,12 +136,12 @@ def walkable_ways(spark, d):
 
 @query(
     sql(
-        f"SELECT way_id, pos, a, b, highway = 'steps' AS steps FROM (SELECT way_id, pos, ref AS a, lead(ref) OVER (PARTITION BY way_id ORDER BY pos) AS b FROM geo_way_refs) JOIN f USING (way_id) WHERE a <> b AND ({_WALK}) AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = a AND s_suppkey % 7 <> 0) AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = b AND s_suppkey % 7 <> 0)",
+        f"SELECT way_id, pos, a, b, highway = 'steps' AS steps FROM (SELECT way_id, pos, ref AS a, lead(ref) OVER (PARTITION BY way_id ORDER BY pos) AS b FROM geo_way_refs) JOIN f USING (way_id) WHERE a <> b AND ({_WALK}) AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = a AND s_acctbal > 0) AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = b AND s_acctbal > 0)",
         "geo_way_refs", f=_FIRST,
     )
 )
 def way_pairs(spark, d):
-    known = spark.read.parquet(f"{d}/supplier.parquet").select(F.col("s_suppkey").cast("bigint").alias("id"), F.lit(0.0).alias("lng"), F.lit(0.0).alias("lat")).where("id % 7 <> 0")
+    known = spark.read.parquet(f"{d}/supplier.parquet").where("s_acctbal > 0").select(F.col("s_suppkey").cast("bigint").alias("id"), F.lit(0.0).alias("lng"), F.lit(0.0).alias("lat"))
     return extract.walk_segments(_ways(spark, d), known).select("way_id", "pos", "a", "b", "steps")
 
 
@@ -146,9 +150,9 @@ def semi_needed_nodes(spark, d):
     return extract.needed_nodes(fx.geo_nodes(spark, d).withColumnRenamed("node_id", "id"), _ways(spark, d)).select(F.col("id").alias("node_id"))
 
 
-@query("SELECT DISTINCT CAST(l_orderkey AS BIGINT) AS way_id FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_custkey % 3 = 0)")
+@query("SELECT DISTINCT CAST(l_orderkey AS BIGINT) AS way_id FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F')")
 def anti_member_ways(spark, d):
-    members = spark.read.parquet(f"{d}/orders.parquet").where("o_custkey % 3 = 0").select(F.col("o_orderkey").cast("bigint").alias("id"))
+    members = spark.read.parquet(f"{d}/orders.parquet").where("o_orderstatus = 'F'").select(F.col("o_orderkey").cast("bigint").alias("id"))
     return _ways(spark, d).join(members, "id", "left_anti").select(F.col("id").alias("way_id"))
 
 
@@ -202,6 +206,12 @@ def _labels(spark, d, method: str = "kernel") -> DataFrame:
     return graph.shortest_paths(graph.reversed_arcs(_weighed(spark, d)), _seeds(spark, d), method)
 
 
+def _thin_labels(spark, d) -> DataFrame:
+    """Labels of the thin graph, for rasters: nodes out of reach and labels in pieces. Used more than once in a plan, so staged."""
+    arcs = graph.reversed_arcs(graph.weigh(fx.geo_segments(spark, d, sparse=True), fx.geo_nodes(spark, d)))
+    return write_stage(graph.shortest_paths(arcs, _seeds(spark, d), "kernel"), "labels")
+
+
 @query(sql("SELECT CAST(type_id AS VARCHAR) AS type_id, node_id, d AS dist_ds FROM dist", "dist"))
 def sssp_dist(spark, d):
     return _labels(spark, d).select("type_id", "node_id", "dist_ds")
@@ -270,17 +280,17 @@ _D2 = "pow(b.clng * kx - n.lng * kx, 2) + pow(b.clat * 110574.0 - n.lat * 110574
 @query(sql(f"SELECT building_id, arg_min(node_id, ({_D2}, node_id)) AS node_id, CAST(round(min(sqrt({_D2})) * 1000) AS BIGINT) AS dist_mm FROM geo_buildings b, grid, geo_nodes n WHERE abs(b.clat - n.lat) < 0.003 AND {_D2} <= 90000.0 GROUP BY building_id", "geo_buildings", "grid"))
 def snap_radius(spark, d):
     b = fx.geo_buildings(spark, d).select("building_id", F.col("clng").alias("lng"), F.col("clat").alias("lat"))
-    near = knn.nearest_within(b, fx.geo_nodes(spark, d), 300.0, GRID.mid_lat, "building_id", steps=raster.STEPS_M)
+    near = knn.nearest_within(b, fx.geo_nodes(spark, d), 300.0, _grid(spark, d).mid_lat, "building_id", steps=raster.STEPS_M)
     return near.select("building_id", "node_id", F.round(F.col("dist_m") * 1000).cast("bigint").alias("dist_mm"))
 
 
 def _grid(spark, d) -> raster.Grid:
     """The grid over all nodes, as run_city has it."""
-    return raster.Grid.over(raster.extent(fx.geo_nodes(spark, d)), 40.0)
+    return raster.Grid.over(raster.extent(fx.geo_nodes(spark, d)), CELL_M)
 
 
-def _cells(spark, d, grid: raster.Grid = GRID) -> DataFrame:
-    return raster.build_grid(grid, fx.geo_nodes(spark, d))
+def _cells(spark, d) -> DataFrame:
+    return write_stage(raster.build_grid(_grid(spark, d), fx.geo_nodes(spark, d)), "grid")
 
 
 @query(sql("SELECT cell, y, x, node_id FROM cells", "cells"))
@@ -293,8 +303,8 @@ def coverage(spark, d):
     return _cells(spark, d).agg(F.count(F.lit(1)).alias("n_cells"), F.count("node_id").alias("n_near"))
 
 
-def _labelled(spark, d, grid: raster.Grid = GRID) -> DataFrame:
-    return raster.label_cells(_cells(spark, d, grid), _labels(spark, d))
+def _labelled(spark, d) -> DataFrame:
+    return write_stage(raster.label_cells(_cells(spark, d), _thin_labels(spark, d)), "cells")
 
 
 @query(sql("SELECT CAST(type_id AS VARCHAR) AS type_id, pid, count(*) AS n_cells FROM labelled GROUP BY type_id, pid", "labelled"))
@@ -322,7 +332,9 @@ def border_contacts(spark, d):
 
 
 _ISLAND = {
-    "island(type_id, cell, island) USING KEY (type_id, cell)": f"SELECT type_id, cell, cell FROM labelled UNION SELECT b.type_id, b.cell, min(t.island) FROM island t JOIN labelled a ON a.type_id = t.type_id AND a.cell = t.cell JOIN labelled b ON b.type_id = a.type_id AND b.pid = a.pid AND abs(b.x - a.x) + abs(b.y - a.y) = 1 AND (b.cell = a.cell + 1 OR b.cell = a.cell - 1 OR b.cell = a.cell + {GRID.w} OR b.cell = a.cell - {GRID.w}) JOIN recurring.island o ON o.type_id = b.type_id AND o.cell = b.cell WHERE t.island < o.island GROUP BY b.type_id, b.cell"
+    "beside": "SELECT a.type_id, a.cell, b.cell AS other FROM labelled a CROSS JOIN (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) s(dx, dy) JOIN labelled b ON b.type_id = a.type_id AND b.pid = a.pid AND b.x = a.x + dx AND b.y = a.y + dy",
+    "island(type_id, cell, island) USING KEY (type_id, cell)": """SELECT type_id, cell, cell FROM labelled UNION SELECT l.type_id, l.other, min(t.island) FROM island t JOIN beside l ON l.type_id = t.type_id AND l.cell = t.cell
+        JOIN recurring.island o ON o.type_id = l.type_id AND o.cell = l.other WHERE t.island < o.island GROUP BY l.type_id, l.other""",
 }
 
 
@@ -338,10 +350,19 @@ def island_sizes(spark, d):
     return found.groupBy(F.col("component.type_id").alias("type_id"), F.col("component.cell").alias("island")).agg(F.count(F.lit(1)).alias("n_cells"))
 
 
-@query(sql(f"SELECT CAST(l.type_id AS VARCHAR) AS type_id, m.building_id, l.pid, CAST(dist.d // 10 + trunc(m.dist / 1.39) AS INT) AS t FROM (SELECT building_id, arg_min(node_id, ({_D2}, node_id)) AS node_id, min(sqrt({_D2})) AS dist FROM geo_buildings b, grid, geo_nodes n WHERE abs(b.clat - n.lat) < 0.003 AND {_D2} <= 90000.0 GROUP BY building_id) m JOIN labels l USING (node_id) JOIN dist ON dist.type_id = l.type_id AND dist.node_id = l.node_id", "geo_buildings", "grid", "labels", "dist"))
+_HOMES = {
+    "met": f"SELECT building_id, arg_min(node_id, ({_D2}, node_id)) AS node_id, min(sqrt({_D2})) AS dist FROM geo_buildings b, grid, geo_nodes n WHERE abs(b.clat - n.lat) < 0.003 AND {_D2} <= 90000.0 GROUP BY building_id",
+    "timed": "SELECT l.type_id, m.building_id, l.pid, CAST(dist_thin.d // 10 + trunc(m.dist / 1.39) AS INT) AS t FROM met m JOIN labels_thin l USING (node_id) JOIN dist_thin ON dist_thin.type_id = l.type_id AND dist_thin.node_id = l.node_id",
+    "fallback": """SELECT l.type_id, b.building_id, l.pid, CAST(NULL AS INT) AS t FROM geo_buildings b, grid JOIN cells c ON c.x = floor((b.clng - west) / dlng) AND c.y = floor((north - b.clat) / dlat) JOIN labels_thin l ON l.node_id = c.node_id
+        WHERE NOT EXISTS (SELECT 1 FROM timed t WHERE t.type_id = l.type_id AND t.building_id = b.building_id)""",
+}
+
+
+@query(sql("SELECT CAST(type_id AS VARCHAR) AS type_id, building_id, pid, t FROM timed UNION ALL SELECT CAST(type_id AS VARCHAR), building_id, pid, t FROM fallback", "geo_buildings", "grid", "cells", "labels_thin", "dist_thin", **_HOMES))
 def building_time(spark, d):
+    """Buildings near a node that is out of reach have the label of their cell's node, and no time."""
     b = fx.geo_buildings(spark, d).select("building_id", F.col("clng").alias("lng"), F.col("clat").alias("lat"))
-    return raster.building_labels(b, GRID, _cells(spark, d), _labels(spark, d), fx.geo_nodes(spark, d)).where("t is not null")
+    return raster.building_labels(b, _grid(spark, d), _cells(spark, d), _thin_labels(spark, d), fx.geo_nodes(spark, d))
 
 
 def _points(spark, d) -> DataFrame:
@@ -363,14 +384,22 @@ def bilinear_elev(spark, d):
 
 @query()
 def dir_paint(spark, d):
-    grid = _grid(spark, d)
-    return raster.direction_cells(grid, _cells(spark, d, grid), _labels(spark, d), fx.geo_nodes(spark, d))
+    return raster.direction_cells(_grid(spark, d), _cells(spark, d), _thin_labels(spark, d), fx.geo_nodes(spark, d))
 
 
 @query()
 def absorbed_cells(spark, d):
+    return raster.absorb(_labelled(spark, d), _grid(spark, d), 6)
+
+
+@query(sql("SELECT CAST(type_id AS VARCHAR) AS type_id, pid, count(*) AS n_cells FROM labelled GROUP BY type_id, pid", "labelled"))
+def polygon_area(spark, d):
+    """Cells within the unsmoothed rings of each label: shells less holes."""
     grid = _grid(spark, d)
-    return raster.absorb(_labelled(spark, d, grid), grid, 6)
+    rings = F.flatten("polygons")
+    area = F.aggregate(F.transform(rings, geometry.doubled_area), F.lit(0.0), lambda acc, a: acc + a)
+    cells = F.round(F.abs(area) / (2 * grid.dlng * grid.dlat)).cast("bigint")
+    return polygons.catchments(_labelled(spark, d), grid, smooth=False).select("type_id", "pid", cells.alias("n_cells"))
 
 
 # ---- polygons and tiles ----
@@ -395,16 +424,9 @@ def ring_centroid(spark, d):
     return _ring(spark, d).select("building_id", F.round(c["x"] * 1e7).cast("bigint").alias("x_e7"), F.round(c["y"] * 1e7).cast("bigint").alias("y_e7"))
 
 
-@query(sql("SELECT b.building_id, n.node_id FROM geo_buildings b JOIN geo_nodes n ON n.lng >= b.clng - half AND n.lng < b.clng + half AND n.lat >= b.clat - half AND n.lat < b.clat + half AND b.building_id % 50 = n.node_id % 50", "geo_buildings", "geo_nodes"))
-def point_in_ring(spark, d):
-    n = fx.geo_nodes(spark, d).withColumn("key", F.col("node_id") % 50)
-    met = _ring(spark, d).withColumn("key", F.col("building_id") % 50).join(n, "key")
-    return met.where(geometry.point_in_ring(F.col("lng"), F.col("lat"), F.col("ring"))).select("building_id", "node_id")
-
-
 @query(sql("SELECT b.building_id, n.node_id FROM geo_buildings b JOIN geo_nodes n ON n.lng >= b.clng - half AND n.lng < b.clng + half AND n.lat >= b.clat - half AND n.lat < b.clat + half", "geo_buildings", "geo_nodes"))
-def point_in_ring_all(spark, d):
-    """Every pair, where point_in_ring and its SQL have those of equal residues only: nodes meet the rings whose box touches their bucket."""
+def point_in_ring(spark, d):
+    """Nodes meet the rings whose box touches their bucket."""
     size = 0.001  # degrees
     n = fx.geo_nodes(spark, d).select("node_id", "lng", "lat", F.floor(F.col("lng") / size).alias("bx"), F.floor(F.col("lat") / size).alias("by"))
 
@@ -449,20 +471,25 @@ def tile_id_hilbert(spark, d):
     return fx.geo_nodes(spark, d).select("node_id", geometry.hilbert_tile_id(6, (k * 7 + 3) % 64, (k * 11 + 5) % 64).alias("tile_id"))
 
 
-@query(sql("SELECT id, offset_, CASE WHEN delta = 0 THEN 0 ELSE offset_ + 1 END AS stored, id - coalesce(lag(id) OVER (ORDER BY id), 0) AS step FROM (SELECT id, offset_, offset_ - coalesce(lag(offset_ + n) OVER (ORDER BY id), -1) AS delta FROM (SELECT node_id AS id, gx + 1 AS n, CAST(coalesce(sum(gx + 1) OVER (ORDER BY node_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset_ FROM geo_nodes WHERE gy = 1))", "geo_nodes"))
+_ARCHIVES = """SELECT gy, id, offset_, CASE WHEN delta = 0 THEN 0 ELSE offset_ + 1 END AS stored, id - coalesce(lag(id) OVER w, 0) AS step FROM (SELECT gy, id, offset_, offset_ - coalesce(lag(offset_ + n) OVER w, -1) AS delta
+    FROM (SELECT gy, node_id AS id, gx + 1 AS n, CAST(coalesce(sum(gx + 1) OVER (PARTITION BY gy ORDER BY node_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset_ FROM geo_nodes) WINDOW w AS (PARTITION BY gy ORDER BY id)) WINDOW w AS (PARTITION BY gy ORDER BY id)"""
+
+
+@query(sql(_ARCHIVES, "geo_nodes"))
 def directory_deltas(spark, d):
+    """The entries of each row of the lattice as an archive of its own."""
     from pyspark.sql import Window as W
 
-    w = W.orderBy("id")  # the tiles of one archive
-    t = fx.geo_nodes(spark, d).where("gy = 1").select(F.col("node_id").alias("id"), (F.col("gx") + 1).cast("bigint").alias("n"))
+    w = W.partitionBy("gy").orderBy("id")
+    t = fx.geo_nodes(spark, d).select("gy", F.col("node_id").alias("id"), (F.col("gx") + 1).cast("bigint").alias("n"))
     t = t.withColumn("offset_", F.coalesce(F.sum("n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     follows = F.coalesce(F.lag(F.col("offset_") + F.col("n")).over(w), F.lit(-1)) == F.col("offset_")
-    return t.select("id", "offset_", F.when(follows, 0).otherwise(F.col("offset_") + 1).alias("stored"), (F.col("id") - F.coalesce(F.lag("id").over(w), F.lit(0))).alias("step"))
+    return t.select("gy", "id", "offset_", F.when(follows, 0).otherwise(F.col("offset_") + 1).alias("stored"), (F.col("id") - F.coalesce(F.lag("id").over(w), F.lit(0))).alias("step"))
 
 
 @query()
 def archive_directories(spark, d):
-    """The directory of each row of the lattice as one archive, of all nodes; directory_deltas and its SQL have the row gy = 1 only."""
+    """The directory of each row of the lattice as one archive."""
 
     def run(pdf):
         pdf, at, places = pdf.sort_values("id"), 0, []
@@ -477,18 +504,17 @@ def archive_directories(spark, d):
 
 @query()
 def polygons_smoothed(spark, d):
-    grid = _grid(spark, d)
-    shapes = polygons.catchments(_labelled(spark, d, grid), grid)
+    shapes = polygons.catchments(_labelled(spark, d), _grid(spark, d))
     return shapes.select("type_id", "pid", "color", F.size("polygons").alias("n_polygons"), F.to_json("polygons").alias("rings"))
 
 
 @query()
 def mvt_tiles(spark, d):
     b = _ring(spark, d).select("building_id", F.array("ring").alias("rings"), F.col("clng").alias("lng"), F.col("clat").alias("lat"))
-    grid = _grid(spark, d)
-    labels = raster.building_labels(b.select("building_id", "lng", "lat"), grid, _cells(spark, d, grid), _labels(spark, d), fx.geo_nodes(spark, d))
+    labels = raster.building_labels(b.select("building_id", "lng", "lat"), _grid(spark, d), _cells(spark, d), _thin_labels(spark, d), fx.geo_nodes(spark, d))
     labels = labels.withColumn("c", colour.building_colour(colour.class_colour(F.col("pid")), F.col("t")))
-    found = tiles.building_tiles(tiles.tile_geometries(b.select("building_id", "rings")), labels)
+    shapes = write_stage(tiles.tile_geometries(b.select("building_id", "rings")), "geometries")
+    found = tiles.building_tiles(shapes, write_stage(labels, "building-labels"))
     return found.select("type_id", "z", "x", "y", F.length("data").alias("n_bytes"), F.sha2("data", 256).alias("sha256"))
 
 
@@ -545,6 +571,6 @@ def manifest_join(spark, d):
     return spark.read.parquet(f"{d}/nation.parquet").join(have, "n_nationkey", "left_semi").select(F.col("n_nationkey").cast("int").alias("city"), F.col("n_name").alias("name"))
 
 
-@query()
+@query(sql("SELECT CAST(type_id AS VARCHAR) AS type_id, node_id, pid, CAST(d AS BIGINT) AS dist_ds, next_hop FROM dist JOIN labels USING (type_id, node_id) LEFT JOIN hops USING (type_id, node_id)", "dist", "labels", "hops"))
 def sssp_by_rounds(spark, d):
-    return _labels(spark, d, "rounds")
+    return _labels(spark, d, "rounds").select("type_id", "node_id", "pid", F.col("dist_ds").cast("bigint").alias("dist_ds"), "next_hop")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -122,7 +124,21 @@ NEEDS = {
     "near_nodes": ["geo_nodes"], "geo_segments": ["near_nodes"], "geo_sparse": ["near_nodes"], "geo_buildings": ["geo_nodes"], "weighed": ["geo_segments", "geo_nodes"],
     "arcs": ["weighed"], "seeds": ["geo_sites"], "dist": ["arcs", "seeds"], "hops": ["dist", "arcs"], "labels": ["seeds", "hops"], "cell": ["grid"], "cells": ["cell", "geo_nodes", "grid"], "labelled": ["cells", "labels"],
 }
-HEADS = {"dist": "dist(type_id, node_id, d) USING KEY (type_id, node_id)"}
+#: The raster's graph: about half of the segments, so that nodes are out of reach and labels come in pieces.
+CTE["geo_thin"] = "SELECT a, b, (31 * a + b) % 17 = 0 AS steps, (17 * a + b) % 13 = 0 AS flat FROM geo_sparse"
+NEEDS["geo_thin"] = ["geo_sparse"]
+_THIN = {"geo_segments": "geo_thin", "weighed": "weighed_thin", "arcs": "arcs_thin", "dist": "dist_thin", "hops": "hops_thin", "labels": "labels_thin", "labelled": "labelled"}
+
+
+def _thin(text: str) -> str:
+    return re.sub(r"\b(" + "|".join(_THIN) + r")\b", lambda m: _THIN[m[1]], text)
+
+
+for _old, _new in _THIN.items():
+    if _old != "geo_segments":
+        CTE[_new] = _thin(CTE[_old])
+        NEEDS[_new] = [_THIN.get(n, n) for n in NEEDS[_old]]
+HEADS = {"dist_thin": "dist_thin(type_id, node_id, d) USING KEY (type_id, node_id)", "dist": "dist(type_id, node_id, d) USING KEY (type_id, node_id)"}
 
 
 def sql(body: str, *names: str, **more: str) -> str:

@@ -26,17 +26,17 @@ def get_session(app: str = "ambula", master: str | None = None, **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir where it is set.
 
-    Where it is unset, a local master gets a temporary folder, and a cluster the warehouse.
-    The folder is also made the checkpoint folder of the context if that has none.
+    Where it is unset, a local master gets a temporary folder; on a cluster that is an error, as no folder is known that
+    all executors see. The folder is also made the checkpoint folder of the context if that has none.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = getattr(spark.sparkContext, "_ambula_shared", None)
     if not path:
-        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
-        path = tempfile.mkdtemp(prefix="ambula-") if local else spark.conf.get("spark.sql.warehouse.dir")
-        path = path if ":" in path else f"file://{path}"
-        spark.sparkContext._ambula_shared = path
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        path = spark.sparkContext._ambula_shared = "file://" + tempfile.mkdtemp(prefix="ambula-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")

@@ -2,7 +2,6 @@
 
 import base64
 import hashlib
-import os
 import zlib
 from collections import Counter
 
@@ -248,32 +247,9 @@ def test_nearest(spark):
     assert few.count() == 2 and ann.nearest(few.where("false").select("vec_id", F.array(F.lit(1.0)).alias("embedding"))).count() == 0
 
 
-def test_recall():
-    rng = np.random.default_rng(6)
-    x = rng.normal(size=(12000, 64))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    q = x[::300]
-    top = np.argsort(-(q @ x.T), 1)[:, 1:21]
-    met = list(ann.Index(x, 1.0, True, ann.TABLES).met(q, ann.PROBES))
-    assert np.mean([np.isin(t, m).mean() for t, m in zip(top, met)]) > 0.9
-
-
 def test_quality(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
     out = quality.judge_documents(docs, labels).join(labels, "doc_id").toPandas()
     assert (out[out.held_out].predicted == out[out.held_out].quality).mean() > 0.95
     assert {r.score for r in quality.judge_documents(docs.limit(5), labels.where("false")).collect()} == {0.5}
-
-
-def test_pipeline(spark, tmp_path):
-    d = "/root/testdata/sf0.001"
-    for t in ("documents", "labels"):
-        os.symlink(f"{d}/{t}.parquet", tmp_path / f"{t}.parquet")
-    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert rows and len({(r.doc_id, r.start) for r in rows}) == len(rows)
-    kept = corpus_pipeline.quality_classifier(spark, spark.read.parquet(f"{d}/documents.parquet"), d)
-    one = corpus_pipeline.ngram_jaccard_join(spark, kept, d)
-    assert kept.columns == one.columns == corpus_pipeline.secret_scans(spark, one, d).columns
-    comp = brute_components({r.doc_id: r.text for r in kept.collect()})
-    assert {r.doc_id for r in one.collect()} == set(comp.values())

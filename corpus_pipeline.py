@@ -41,7 +41,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: Models, links and tokenizers are beyond SQL; tests hold run() against a brute-force version.
+#: Models, links and tokenizers are beyond SQL; tests/llm/test_brute.py holds run() against plain Python, stage by stage.
 ORACLE_SQL = None
 
 

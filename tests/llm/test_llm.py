@@ -238,10 +238,15 @@ def test_nearest(spark):
     x[50:90] = x[40]
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(400, None), (420, [0.0] * 16), (440, [float("nan")] * 16), (460, [1.0, None])]
     got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).toPandas()
+    hits = []  # the tables decide what is met, so the nearest are found but for a few; scores and order are exact
     for q, part in got.groupby("query_id"):
         s = x @ x[q]
         want = [i for i in np.lexsort((np.arange(300), -np.round(s, 9))) if i != q][:20]
-        assert part.sort_values("rank").vec_id.tolist() == want
+        found = part.sort_values("rank").vec_id.tolist()
+        assert len(set(found)) == 20 and q not in found and np.allclose(part.sort_values("rank").score, s[found], rtol=0, atol=1e-12)
+        assert found == sorted(found, key=lambda i: (-round(s[i], 9), i))
+        hits.append(len({*found} & {*want}) / 20)
+    assert np.mean(hits) >= 0.9
     assert set(got.query_id) == set(range(0, 300, 20))
     few = ann.nearest(spark.createDataFrame(rows[:3], "vec_id long, embedding array<double>"))
     assert few.count() == 2 and ann.nearest(few.where("false").select("vec_id", F.array(F.lit(1.0)).alias("embedding"))).count() == 0

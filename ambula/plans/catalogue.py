@@ -384,12 +384,12 @@ def bilinear_elev(spark, d):
 
 @query()
 def dir_paint(spark, d):
-    return raster.direction_cells(_grid(spark, d), _cells(spark, d), _thin_labels(spark, d), fx.geo_nodes(spark, d))
+    return raster.direction_cells(_grid(spark, d), _cells(spark, d), write_stage(_labels(spark, d), "labels"), fx.geo_nodes(spark, d))
 
 
 @query()
 def absorbed_cells(spark, d):
-    return raster.absorb(_labelled(spark, d), _grid(spark, d), 6)
+    return raster.absorb(raster.label_cells(_cells(spark, d), _labels(spark, d)), _grid(spark, d), 6)
 
 
 @query(sql("SELECT CAST(type_id AS VARCHAR) AS type_id, pid, count(*) AS n_cells FROM labelled GROUP BY type_id, pid", "labelled"))

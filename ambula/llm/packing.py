@@ -14,7 +14,8 @@ import functools
 import os
 import zlib
 from collections import defaultdict, deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -29,7 +30,8 @@ END_ID = 1
 WINDOW = 512
 #: Words that each of the cache's two generations in a Python worker holds at about most, and letters of one that it takes.
 CACHE_WORDS, CACHE_LETTERS = 400_000, 64
-SLICE = 1_000_000
+#: Bytes of a text that are cut into words at once, of texts whose new words are learned at once, and letter words encoded as one.
+SLICE, LEARNED, TOGETHER = 1_000_000, 16_000, 128
 
 Piece = tuple[int, int, bytes, int]  # document, start, ids as bytes, ids of the document
 
@@ -61,62 +63,83 @@ class WordEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, missing: set[bytes]) -> None:
-        cut: dict[bytes, tuple[bytes, bytes]] = {}
-        plain, other = set(), []
+        cut: dict[bytes, bytes] = {}
+        plain, single, other = set(), set(), []
         for word in missing:
             stem = word[:-1] if word[-1:] in self.marks else word
-            text = stem.decode("utf-8", "surrogatepass")
-            if text.isalpha():
-                cut[word] = (stem, self.marks[word[-1:]] if len(stem) < len(word) else b"")
+            if not (stem.isalpha() or stem.decode("utf-8", "surrogatepass").isalpha()):
+                other.append(word)
+            elif stem is word:
+                plain.add(word)
+            else:
+                cut[word] = stem
                 if stem in self.old:
                     self.words[stem] = self.old[stem]
                 elif stem not in self.words:
                     plain.add(stem)
-            else:
-                other.append(word)
-        stems = sorted(plain)
-        groups = [stems[i : i + 256] for i in range(0, len(stems), 256)]
+        stems = list(plain)
+        groups = [stems[i : i + TOGETHER] for i in range(0, len(stems), TOGETHER)]
         for group, ids in zip(groups, self._ids([b" ".join(g).decode("utf-8", "surrogatepass") for g in groups])):
             ends = np.flatnonzero(self.final[np.frombuffer(ids, "<u4")]) + 1
             if len(ends) == len(group):
                 self.words.update((w, ids[4 * a : 4 * b]) for w, a, b in zip(group, [0, *ends.tolist()], ends.tolist()))
+                single.update(group)
             else:
                 self.words.update(zip(group, self._ids([w.decode("utf-8", "surrogatepass") for w in group])))
         self.words.update(zip(other, self._ids([w.decode("utf-8", "surrogatepass") for w in other])))
         whole = []
-        for word, (stem, mark) in cut.items():
-            if not mark or self.final[np.frombuffer(self.words[stem], "<u4")].sum() == 1:
-                self.words[word] = self.words[stem] + mark
+        for word, stem in cut.items():
+            if stem in single or self.final[np.frombuffer(self.words[stem], "<u4")].sum() == 1:
+                self.words[word] = self.words[stem] + self.marks[word[-1:]]
             else:
                 whole.append(word)
         self.words.update(zip(whole, self._ids([w.decode("utf-8", "surrogatepass") for w in whole])))
 
+    def _joined(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of each part, whose new words are learned together."""
+        if len(self.words) > CACHE_WORDS:  # words that are not met again go with the generation after
+            self.words, self.old = {b"": b""}, self.words
+        split = [part.split(b" ") for part in parts]
+        missing: set[bytes] = set()
+        for words in split:
+            missing.update(filterfalse(self.words.__contains__, words))
+        known = missing & self.old.keys()
+        self.words.update(zip(known, map(self.old.__getitem__, known)))
+        self._learn(missing - known)
+        found = [b"".join(map(self.words.__getitem__, words)) for words in split]
+        for word in missing:
+            if len(word) > CACHE_LETTERS:
+                self.words.pop(word)
+                self.words.pop(word[:-1], None)
+        return found
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        group, size = [], 0
+        for text in texts:
+            data = text.encode("utf-8", "surrogatepass").lower().replace(b"\n", b" ")
+            if size + len(data) > LEARNED or len(data) > SLICE:
+                yield from self._joined(group)
+                group, size = [], 0
+            if len(data) > SLICE:
+                yield b"".join(ids for part in _cut(data) for ids in self._joined([part]))
+            else:
+                group.append(data)
+                size += len(data)
+        yield from self._joined(group)
+
     def __call__(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        data = text.encode("utf-8", "surrogatepass").lower().replace(b"\n", b" ")
-        found, at = [], 0
-        while at < len(data):
-            end = len(data)
-            if end - at > SLICE:
-                end = data.find(b" ", at + SLICE)
-                end = len(data) if end < 0 else end
-            words = data[at:end].split(b" ")
-            at = end
-            ids = list(map(self.words.get, words))
-            if None in ids:
-                if len(self.words) > CACHE_WORDS:  # words that are not met again go with the generation after
-                    self.words, self.old = {b"": b""}, self.words
-                missing = set(words).difference(self.words)
-                known = {w for w in missing if w in self.old}
-                self.words.update(zip(known, map(self.old.__getitem__, known)))
-                missing -= known
-                self._learn(missing)
-                ids = list(map(self.words.__getitem__, words))
-                for w in missing:
-                    if len(w) > CACHE_LETTERS:
-                        del self.words[w]
-            found += ids
-        return b"".join(found)
+        return next(self.encode([text]))
+
+
+def _cut(data: bytes) -> Iterator[bytes]:
+    """Parts of about SLICE bytes, cut at spaces."""
+    at = 0
+    while at < len(data):
+        end = data.find(b" ", at + SLICE)
+        end = len(data) if end < 0 else end
+        yield data[at:end]
+        at = end
 
 
 @functools.lru_cache(maxsize=2)
@@ -234,7 +257,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
     schema = _SCHEMA.append(pa.field("ids", pa.list_(pa.int32()))) if with_ids else _SCHEMA
 
     def run(batches):
-        encode, packer = encoder(path), Packer(capacity)
+        words, packer = encoder(path), Packer(capacity)
         base, n, rows = TaskContext.get().partitionId() << 33, 0, []
         last = np.array([END_ID], "<u4").tobytes()
 
@@ -243,9 +266,9 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
 
         def sequences():
             for batch in batches:
-                ids, texts = batch.column(0), batch.column(1)
-                for i in range(batch.num_rows):
-                    yield from packer.add(ids[i].as_py(), encode(texts[i].as_py() or "") + last)
+                texts = (text.as_py() or "" for text in batch.column(1))
+                for doc, ids in zip(batch.column(0).to_pylist(), words.encode(texts)):
+                    yield from packer.add(doc, ids + last)
             yield from packer.finish()
 
         for pieces in sequences():

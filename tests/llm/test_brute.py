@@ -146,6 +146,23 @@ def test_clashing_names(spark):
     assert [r.verdict for r in url_filter.filter_urls(pages).orderBy("page_id").collect()] == ["block", "block", "block"] and url_filter.filter_urls(pages.where("false")).count() == 0
 
 
+def test_token_ids_of_many_texts(monkeypatch):
+    """Texts that are learned together, that are cut, and whose words pass from one generation of the cache to the next."""
+    path = public_tokenizers.path(packing.VOCABULARY)
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(c) for c in rng.choice(list(range(97, 123)) + [0x4E2D, 0x915, 0x93F, 0x130, 45], rng.integers(1, 9))) for _ in range(300)]
+    words += ["word" * 40, "word" * 40 + ",", ",", ".", "a.", "A.,"]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 60))).replace(" b", "\nb") for _ in range(200)] + ["", " ", "\n"]
+    for name, value in (("CACHE_WORDS", 50), ("LEARNED", 400), ("SLICE", 300), ("TOGETHER", 7)):
+        monkeypatch.setattr(packing, name, value)
+    encode = packing.WordEncoder(path)
+    for text, ids in zip(texts, encode.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    assert not any(len(w) > packing.CACHE_LETTERS for w in encode.words)
+
+
 def test_token_ids_of_all_letters():
     """Letters of every block with a comma, a stop or a letter after them."""
     encode = packing.WordEncoder(public_tokenizers.path(packing.VOCABULARY))

@@ -8,7 +8,9 @@ import math
 import struct
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -111,6 +113,84 @@ def tile_geometry(rings, z: int, tx: int, ty: int) -> bytes | None:
     return polygon_commands(out)
 
 
+def _before(ring: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of points in order of n rings: the points of each ring, its first, and the point before each, around the ring."""
+    count = np.bincount(ring, minlength=n)
+    first = np.cumsum(count) - count
+    before = np.arange(len(ring)) - 1
+    before[first[count > 0]] = (first + count - 1)[count > 0]
+    return count, first, before
+
+
+def _varints(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all numbers under 2^35, and how many each has."""
+    width = 1 + sum((numbers >= 1 << 7 * k).astype(np.int64) for k in range(1, 5))
+    start, out = np.cumsum(width) - width, np.zeros(width.sum(), np.uint8)
+    for k in range(5):
+        here = width > k
+        out[start[here] + k] = numbers[here] >> 7 * k & 0x7F | np.where(width[here] > k + 1, 0x80, 0)
+    return out, width
+
+
+def batch_geometries(rings: pa.ListArray, z: np.ndarray, tx: np.ndarray, ty: np.ndarray) -> list[bytes | None]:
+    """tile_geometry of each row. Only shapes that reach over a tile's edge are clipped one by one."""
+    n, per, inner = len(rings), np.asarray(rings.value_lengths()), rings.flatten()
+    sizes = np.asarray(inner.value_lengths())
+    x, y = (np.asarray(c) for c in inner.flatten().flatten())
+    owner, shell = np.repeat(np.arange(n), per), np.cumsum(per) - per
+    ring = np.repeat(np.arange(len(sizes)), sizes)
+    row = owner[ring]
+    scale = (EXTENT << z.astype(np.int64)).astype(float)[row]
+    x, y = x * scale - tx[row] * EXTENT, y * scale - ty[row] * EXTENT
+    within = (x >= -BUFFER) & (x <= EXTENT + BUFFER) & (y >= -BUFFER) & (y <= EXTENT + BUFFER)
+    over = (per == 0) | (np.bincount(row, ~within, n) > 0)
+
+    last = np.cumsum(sizes)[sizes > 1] - 1
+    first = last + 1 - sizes[sizes > 1]
+    keep = ~over[row]
+    keep[last[(x[first] == x[last]) & (y[first] == y[last])]] = False
+    ring = ring[keep]
+    x, y = (np.copysign(np.floor(np.abs(v[keep]) + 0.5), v[keep]).astype(np.int64) for v in (x, y))
+    _, _, before = _before(ring, len(sizes))
+    fresh = (x != x[before]) | (y != y[before])
+    ring, x, y = ring[fresh], x[fresh], y[fresh]
+    count, first, before = _before(ring, len(sizes))
+    area = np.bincount(ring, x[before] * y - x * y[before], len(sizes))
+    outer = np.zeros(len(sizes), bool)
+    outer[shell[per > 0]] = True
+    drawn = ~over
+    drawn[owner[outer]] &= ((count >= 3) & (np.abs(area) >= SPECK))[outer]
+    turned = (area > 0) != outer  # these start at the same point and go the other way
+    place = np.arange(len(ring)) - first[ring]
+    place = np.where(turned[ring], -place % count[ring], place)
+    order = np.lexsort((place, ring))
+    keep = ((count >= 3) & drawn[owner])[ring]
+    order = order[keep]  # the order is within rings, so the mask holds for it too
+    ring, place, x, y = ring[order], place[order], x[order], y[order]
+
+    row = owner[ring]
+    new = np.diff(row, prepend=-1) != 0
+    drawn_rings = np.flatnonzero((count >= 3) & drawn[owner])
+    length = np.zeros(len(sizes), np.int64)
+    length[drawn_rings] = 2 * count[drawn_rings] + 3
+    start = np.cumsum(length) - length
+    numbers = np.zeros(length.sum(), np.int64)
+    numbers[start[drawn_rings]] = _MOVE | 1 << 3
+    numbers[start[drawn_rings] + 3] = _LINE | count[drawn_rings] - 1 << 3
+    numbers[start[drawn_rings] + length[drawn_rings] - 1] = _CLOSE | 1 << 3
+    for k, v in enumerate((x, y)):
+        step = np.where(new, v, np.diff(v, prepend=0))
+        numbers[start[ring] + np.where(place == 0, 1, 2 + 2 * place) + k] = step << 1 ^ step >> 63
+    data, width = _varints(numbers)
+    ends = np.cumsum(np.bincount(np.repeat(owner, length), width, n).astype(np.int64))
+    whole, starts = data.tobytes(), [0, *ends.tolist()]
+    out = [whole[a:b] if d else None for a, b, d in zip(starts, starts[1:], drawn.tolist())]
+    clipped = np.flatnonzero(over)
+    for i, shape in zip(clipped.tolist(), rings.take(pa.array(clipped)).to_pylist()):
+        out[i] = tile_geometry(shape, int(z[i]), int(tx[i]), int(ty[i]))
+    return out
+
+
 def encode_layer(name: str, features: Iterable[tuple[bytes, dict[str, int | str | None]]], keys: list[str]) -> bytes:
     """A tile of one layer of polygons; values are kept once, in the order they are met; null values are left out."""
     values: dict[int | str, int] = {}
@@ -146,12 +226,12 @@ def tile_geometries(buildings: DataFrame, zooms: Iterable[int] = ZOOMS) -> DataF
     every = F.flatten(F.array(*map(at_zoom, zooms)))
     met = flat.withColumn("tile", F.explode(every)).select("tile.*", "building_id", "area", "rings")
 
-    def encode(frames):
-        for f in frames:
-            geom = [tile_geometry(r, z, x, y) for r, z, x, y in zip(f.rings, f.z, f.x, f.y)]
-            yield f.drop(columns="rings").assign(geom=geom)
+    def encode(batches):
+        for b in batches:
+            geom = batch_geometries(b.column(5), *(np.asarray(b.column(i)) for i in range(3)))
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(geom, pa.binary())], ["z", "x", "y", "building_id", "area", "geom"])
 
-    encoded = met.mapInPandas(encode, "z int, x int, y int, building_id long, area double, geom binary").where("geom is not null")
+    encoded = met.mapInArrow(encode, "z int, x int, y int, building_id long, area double, geom binary").where("geom is not null")
     return within_budget(encoded, ["z", "x", "y"], F.length("geom") + FEATURE_COST, [F.col("area").desc(), F.col("building_id")])
 
 

@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -249,6 +250,29 @@ def test_colours(spark):
         assert light[:5] == sorted(light[:5], reverse=True) and light[0] > light[4] and shades[1800] == shades[4000]
 
 
+def test_batch_geometries():
+    """Shells and holes within a tile, over its edge and outside, closed or not, with repeats: a batch as row by row."""
+    rng, rows, place = np.random.default_rng(3), [], []
+    for _ in range(1500):
+        z = int(rng.integers(0, 16))
+        at = rng.integers(0, 1 << z, 2)
+        shape = []
+        for _ in range(rng.integers(0, 4)):
+            middle, radius = rng.uniform(-0.05, 1.05, 2), rng.choice([0.0002, 0.003, 0.05])
+            turn = np.sort(rng.uniform(0, 2 * math.pi, rng.integers(0, 9))) * rng.choice([-1, 1])
+            ring = [{"x": float(x), "y": float(y)} for x, y in (at + middle + radius * np.stack((np.cos(turn), np.sin(turn)), 1)) / (1 << z)]
+            shape.append((ring[:1] if rng.random() < 0.2 else []) + ring + (ring[:1] if rng.random() < 0.7 else []))
+        rows.append(shape)
+        place.append((z, *at.tolist()))
+    rings = pa.array(rows, pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
+    places = np.array(place, np.int32).T
+    expected = [tiles.tile_geometry(shape, *at) for shape, at in zip(rows, place)]
+    assert sum(e is not None and len(e) > 0 for e in expected) > 300
+    assert tiles.batch_geometries(rings, *places) == expected
+    assert tiles.batch_geometries(rings[200:300], *places[:, 200:300]) == expected[200:300]
+    assert tiles.batch_geometries(rings[:0], *places[:, :0]) == []
+
+
 def test_tile_ids(spark):
     """Numbers of a zoom follow those of the zoom before, are dense, and neighbours in number are neighbours in place."""
     at = 0

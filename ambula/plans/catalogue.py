@@ -379,7 +379,8 @@ def _points(spark, d) -> DataFrame:
 )
 def bilinear_elev(spark, d):
     e = raster.sample_elevation(_points(spark, d), fx.geo_dem(spark), "node_id")
-    return e.select("node_id", F.round(F.col("elev").cast("double") * 100).cast("bigint").alias("elev_cm"))
+    # in single precision, as the SQL: a half is rounded as it is there
+    return e.select("node_id", F.round(F.col("elev") * F.lit(100).cast("float")).cast("bigint").alias("elev_cm"))
 
 
 @query()

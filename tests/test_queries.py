@@ -31,6 +31,14 @@ def test_query(spark, duck, name):
     assert rows(mine) == rows(theirs)
 
 
+def test_bilinear_elev_rounds_as_its_sql(spark):
+    """At sf0.1 some heights are a half of a centimetre in single precision, and a little less in double."""
+    d = "/root/testdata/sf0.1"
+    con = duckdb.connect()
+    con.execute(f"create view customer as select * from '{d}/customer.parquet'")
+    assert rows(catalogue.QUERIES["bilinear_elev"](spark, d).toPandas()) == rows(con.execute(catalogue.ORACLE_SQL["bilinear_elev"]).fetchdf())
+
+
 def test_every_point_in_ring(spark):
     from ambula.plans import fixtures as fx
 

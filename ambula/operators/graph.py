@@ -15,8 +15,11 @@ from ambula.stages import write_stage
 
 #: Smaller components are left out of the graph.
 MIN_COMPONENT = 30
-#: Arcs of a city up to which its shortest paths run in one kernel for each type; beyond, as rounds of joins.
+#: Arcs of a city up to which its shortest paths run in one kernel for each type; beyond, as rounds over blocks of nodes.
 KERNEL_ARCS = 20_000_000
+#: Arcs of a block, about.
+BLOCK_ARCS = 200_000
+_FAR = 1 << 62
 
 
 def component_sizes(segments: DataFrame) -> DataFrame:
@@ -86,40 +89,194 @@ def _kernel(arcs: pd.DataFrame, seeds: pd.DataFrame) -> pd.DataFrame:
     return out[reached]
 
 
-def _by_rounds(arcs: DataFrame, seeds: DataFrame) -> DataFrame:
-    """The same by rounds: nodes whose time fell tell their neighbours; then ties are settled and labels follow hops."""
-    arcs = write_stage(arcs.groupBy("src", "dst").agg(F.min("w").alias("w")), "arcs")
-    best = write_stage(seeds.select("type_id", "node_id", F.lit(0).cast("long").alias("dist_ds"), F.lit(True).alias("fresh")), "dist")
-    while not (fresh := best.where("fresh")).isEmpty():
-        told = fresh.join(arcs, fresh.node_id == arcs.src).select("type_id", F.col("dst").alias("node_id"), (F.col("dist_ds") + F.col("w")).alias("dist_ds"), F.lit(True).alias("fresh"))
-        known = best.withColumn("fresh", F.lit(False))
-        # of equal times the known one first, so only what fell is fresh
-        best = write_stage(known.unionByName(told).groupBy("type_id", "node_id").agg(F.min(F.struct("dist_ds", "fresh")).alias("m")).select("type_id", "node_id", "m.*"), "dist")
-    dist = best.drop("fresh")
-    near = dist.select("type_id", F.col("node_id").alias("src"), F.col("dist_ds").alias("d"))
-    hops = near.join(arcs, "src").join(dist.withColumnRenamed("node_id", "dst"), ["type_id", "dst"]).where("dist_ds > 0 and d + w = dist_ds")
-    hops = hops.groupBy("type_id", F.col("dst").alias("node_id")).agg(F.min(F.struct("d", "src"))["src"].alias("next_hop"))
-    labels = dist.join(hops, ["type_id", "node_id"], "left").join(seeds, ["type_id", "node_id"], "left")
-    # a seed has its own label; others take it from further and further along the hops
-    labels = write_stage(labels.withColumn("at", F.when(F.col("dist_ds") > 0, F.col("next_hop"))).withColumn("pid", F.when(F.col("dist_ds") == 0, F.col("pid"))), "labels")
-    while not labels.where("pid is null").isEmpty():
-        ahead = labels.select("type_id", F.col("node_id").alias("at"), F.col("pid").alias("pid_"), F.col("at").alias("at_"))
-        labels = labels.join(ahead, ["type_id", "at"], "left").select("type_id", "node_id", "dist_ds", "next_hop", F.coalesce("pid", "pid_").alias("pid"), F.coalesce("at_", "at").alias("at"))
-        labels = write_stage(labels, "labels")
-    return labels.select("type_id", "node_id", "pid", "dist_ds", "next_hop")
-
-
-def shortest_paths(arcs: DataFrame, seeds: DataFrame, method: str | None = None) -> DataFrame:
+_KEYS = ["type_id", "block"]
+_GRAPH = "block int, nodes binary, first binary, dst binary, w binary, out_src binary, out_dst binary, out_block binary, out_w binary"
+#: Of a type and block: what is known (ids with their times, and the best way in from other blocks), or what is told to it.
+_STATE = "type_id string, block int, known boolean, ids binary, dist binary, over binary, over_dist binary, over_node binary"
+_ARRAYS = _STATE.replace(" string", "").replace(" int", "").replace(" boolean", "").replace(" binary", "").split(", ")
+
+
+def _read(row, name: str, dtype: str = "<i8") -> np.ndarray:
+    """A packed column of a row; empty if there is none."""
+    value = None if row is None else getattr(row, name)
+    return np.frombuffer(value, dtype) if isinstance(value, (bytes, bytearray)) else np.zeros(0, dtype)
+
+
+def _least(node: np.ndarray, *ways: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each node once, ascending, with its least way."""
+    order = np.lexsort((*ways[::-1], node))
+    node = node[order]
+    first = np.flatnonzero(np.diff(node, prepend=node[0] - 1)) if len(node) else []
+    return node[first], *(way[order][first] for way in ways)
+
+
+def _in_blocks(cuts: np.ndarray):
+    """arcs with the blocks of both ends."""
+
+    def run(frames):
+        for f in frames:
+            yield f.assign(block=np.searchsorted(cuts, f.src, "right").astype("i4"), dst_block=np.searchsorted(cuts, f.dst, "right").astype("i4"))
+
+    return run
+
+
+def _packed_block(arcs: pd.DataFrame) -> pd.DataFrame:
+    """A block's arcs as one row: those inside by source, and those that leave it."""
+    block = int(arcs.block.iloc[0])
+    inside = (arcs.dst_block == block).to_numpy()
+    src, dst, w = (arcs[c].to_numpy(np.int64) for c in ("src", "dst", "w"))
+    nodes = np.unique(np.concatenate((src, dst[inside])))
+    at = np.searchsorted(nodes, src)
+    order = np.flatnonzero(inside)[np.argsort(at[inside], kind="stable")]
+    first = np.searchsorted(at[order], np.arange(len(nodes) + 1))
+    row = [nodes, first, np.searchsorted(nodes, dst[order]), w[order], at[~inside], dst[~inside], arcs.dst_block.to_numpy(np.int64)[~inside], w[~inside]]
+    return pd.DataFrame([[block, *[v.astype("<i8").tobytes() for v in row]]], columns=[c.split()[0] for c in _GRAPH.split(", ")])
+
+
+def _packed_seeds(cuts: np.ndarray):
+    """Seeds as what blocks are told: time 0, over no node, and the label in place of the node before."""
+
+    def run(frames):
+        for f in frames:
+            f = f.assign(block=np.searchsorted(cuts, f.node_id, "right").astype("i4"))
+            rows = [_told(kind, block, g.node_id.to_numpy(), *(np.full(len(g), v) for v in (0, -1)), g.pid.to_numpy()) for (kind, block), g in f.groupby(["type_id", "block"])]
+            yield pd.DataFrame(rows, columns=_ARRAYS)
+
+    return run
+
+
+def _told(kind: str, block: int, node: np.ndarray, *ways: np.ndarray) -> tuple:
+    """A row of what a block is told: nodes, and for each the time, the time of the node before and that node."""
+    return (kind, int(block), False, node.astype("<i8").tobytes(), None, *(way.astype("<i8").tobytes() for way in ways))
+
+
+def _settled(kept: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+    """A round of a type's block: times fall from what it is told on, by a heap; neighbours are told of those that fell."""
+    if not len(told):
+        return pd.DataFrame(columns=_ARRAYS)
+    row = next(kept.itertuples())
+    node, over, over_dist, over_node = _least(*(np.concatenate([_read(r, c) for r in told.itertuples()]) for c in ("ids", "over", "over_dist", "over_node")))
+    nodes, known = _read(row, "nodes"), _read(row, "ids")
+    ids = np.unique(np.concatenate((nodes, known, node)))
+    best = np.full((4, len(ids)), _FAR)  # the time, and the least way in from other blocks
+    for k, c in enumerate(("dist", "over", "over_dist", "over_node")):
+        best[k, np.searchsorted(ids, known)] = _read(row, c)
+    at = np.searchsorted(ids, node)
+    _, *ways = _least(np.concatenate((at, at)), *(np.concatenate((best[k, at], way)) for k, way in ((1, over), (2, over_dist), (3, over_node))))
+    best[1:, at] = ways
+    # the graph's nodes may be a part of all that are known: the others have no arcs that start there
+    place = np.full(len(ids), -1)
+    place[np.searchsorted(ids, nodes)] = np.arange(len(nodes))
+    first, place, inner = _read(row, "first").tolist(), place.tolist(), np.searchsorted(ids, nodes)
+    dst, w = inner[_read(row, "dst")].tolist(), _read(row, "w").tolist()
+    fell = at[over < best[0, at]]
+    dist, heap, fallen = best[0].tolist(), [], set(fell.tolist())
+    for u, d in zip(fell.tolist(), best[1, fell].tolist()):
+        dist[u] = d
+        heap.append((d, u))
+    heapq.heapify(heap)
+    while heap:
+        d, u = heapq.heappop(heap)
+        if d > dist[u] or (p := place[u]) < 0:
+            continue
+        for k in range(first[p], first[p + 1]):
+            v = dst[k]
+            if d + w[k] < dist[v]:
+                dist[v] = d + w[k]
+                fallen.add(v)
+                heapq.heappush(heap, (dist[v], v))
+    best[0] = dist
+    kind, block = row.type_id, int(row.block)
+    reached = best[0] < _FAR
+    rows = [(kind, block, True, ids[reached].tobytes(), *(v[reached].tobytes() for v in best))]
+    new = np.zeros(len(ids), bool)
+    new[list(fallen)] = True
+    src = inner[_read(row, "out_src")]
+    tell = new[src]
+    src, out, blocks, more = src[tell], *(_read(row, c)[tell] for c in ("out_dst", "out_block", "out_w"))
+    for b in np.unique(blocks):
+        one = blocks == b
+        rows.append(_told(kind, b, *_least(out[one], best[0, src[one]] + more[one], best[0, src[one]], ids[src[one]])))
+    return pd.DataFrame(rows, columns=_ARRAYS)
+
+
+def _followed(frames):
+    """Of settled blocks each node's hop, and the label or the node of another block that its hops lead to."""
+    for f in frames:
+        for row in f.itertuples():
+            ids, dist, over, over_dist, over_node = (_read(row, c) for c in ("ids", "dist", "over", "over_dist", "over_node"))
+            n = len(ids)
+            nodes, first = _read(row, "nodes"), _read(row, "first")
+            src, dst, w = np.repeat(nodes, np.diff(first)), nodes[_read(row, "dst")], _read(row, "w")
+            a, b = (np.minimum(np.searchsorted(ids, v), max(n - 1, 0)) for v in (src, dst))
+            step = (ids[a] == src) & (ids[b] == dst)
+            step &= (dist[a] + w == dist[b]) & (dist[b] > 0)
+            start = dist == 0
+            outer = (over == dist) & ~start
+            # places and nodes are in the same order; -1 for ways in from other blocks
+            to, d, hop, at = _least(np.concatenate((b[step], np.flatnonzero(outer))), np.concatenate((dist[a[step]], over_dist[outer])), np.concatenate((ids[a[step]], over_node[outer])), np.concatenate((a[step], np.full(outer.sum(), -1))))
+            hops = np.zeros(n, np.int64)
+            hops[to] = hop
+            lead = np.arange(n)
+            lead[to] = np.where(at >= 0, at, to)
+            while (further := lead[lead]).tolist() != lead.tolist():
+                lead = further
+            own = start[lead]
+            yield pd.DataFrame({
+                "type_id": row.type_id, "node_id": ids, "dist_ds": dist, "next_hop": pd.array(hops, "Int64"),
+                "pid": pd.array(over_node[lead], "Int64"), "at": pd.array(hops[lead], "Int64"),
+            }).assign(next_hop=lambda x: x.next_hop.mask(start), pid=lambda x: x.pid.mask(~own), at=lambda x: x["at"].mask(own))
+
+
+def _by_rounds(arcs: DataFrame, seeds: DataFrame, block_arcs: int) -> DataFrame:
+    """The same by rounds over blocks of nodes, ranges of ids with about so many arcs each.
+
+    In a round every block that is told of less times settles its own nodes, and tells the blocks that its arcs lead to. So
+    there are about as many rounds as a shortest path changes blocks, not as it has arcs. Then hops are found in each block,
+    and labels follow them: inside of blocks at once, between them by rounds that double their length.
+    """
+    arcs = write_stage(arcs.select("src", "dst", F.col("w").cast("long").alias("w")), "arcs")
+    parts = -(-arcs.count() // block_arcs)
+    cuts = np.unique(np.array(arcs.approxQuantile("src", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else [], np.int64))
+    graph = arcs.mapInPandas(_in_blocks(cuts), "src long, dst long, w long, block int, dst_block int")
+    graph = write_stage(graph.groupBy("block").applyInPandas(_packed_block, _GRAPH), "graph")
+    told = write_stage(seeds.mapInPandas(_packed_seeds(cuts), _STATE), "dist")
+    spark = arcs.sparkSession
+    # blocks are few rows, but much work: their number of partitions is given
+    tasks = max(1, min((len(cuts) + 1) * seeds.select("type_id").distinct().count(), 4 * spark.sparkContext.defaultParallelism))
+    state = spark.createDataFrame([], _STATE)
+    while not told.isEmpty():
+        active = told.select(*_KEYS).distinct()
+        kept = active.join(graph, "block", "left").join(state.drop("known"), _KEYS, "left").repartition(tasks, *_KEYS)
+        tidings = told.withColumnsRenamed({c: c + "_" for c in _KEYS}).repartition(tasks, *[c + "_" for c in _KEYS])
+        run = kept.groupBy(*_KEYS).cogroup(tidings.groupBy(*[c + "_" for c in _KEYS])).applyInPandas(_settled, _STATE)
+        both = write_stage(run.unionByName(state.join(active, _KEYS, "left_anti")), "dist")
+        state, told = both.where("known"), both.where("not known")
+    labels = state.join(graph, "block", "left").repartition(tasks, *_KEYS)
+    labels = write_stage(labels.mapInPandas(_followed, "type_id string, node_id long, dist_ds long, next_hop long, pid long, at long"), "labels")
+    # only nodes that other blocks' hops lead to need a label from further and further along
+    ends = labels.where("at is not null").select("type_id", F.col("at").alias("node_id")).distinct()
+    ends = write_stage(labels.join(ends, ["type_id", "node_id"], "left_semi").select("type_id", "node_id", "pid", "at"), "ends")
+    while not ends.where("pid is null").isEmpty():
+        ahead = ends.select("type_id", F.col("node_id").alias("at"), F.col("pid").alias("pid_"), F.col("at").alias("at_"))
+        ends = ends.join(ahead, ["type_id", "at"], "left").select("type_id", "node_id", F.coalesce("pid", "pid_").alias("pid"), F.coalesce("at_", "at").alias("at"))
+        ends = write_stage(ends, "ends")
+    last = ends.select("type_id", F.col("node_id").alias("at"), F.col("pid").alias("pid_"))
+    return labels.join(last, ["type_id", "at"], "left").select("type_id", "node_id", F.coalesce("pid", "pid_").alias("pid"), "dist_ds", "next_hop")
+
+
+def shortest_paths(arcs: DataFrame, seeds: DataFrame, method: str | None = None, block_arcs: int = BLOCK_ARCS) -> DataFrame:
     """(type_id, node_id, pid, dist_ds, next_hop) of every node that a site of the type is reached from.
 
     arcs(src, dst, w), reversed as above, w at least 1; seeds(type_id, node_id, pid), one for each node and type. method is
-    "kernel" (a heap for each type), "rounds" (joins), or None to choose by the number of arcs. Both give the same.
+    "kernel" (a heap for each type), "rounds" (a heap for each type and block of about block_arcs arcs, until no block tells
+    another of a less time), or None to choose by the number of arcs. Both give the same.
     """
     seeds = seeds.select(F.col("type_id").cast("string").alias("type_id"), "node_id", F.col("pid").cast("long").alias("pid"))
     if method is None:
         method = "kernel" if arcs.count() <= KERNEL_ARCS else "rounds"
     if method == "rounds":
-        return _by_rounds(arcs, seeds)
+        return _by_rounds(arcs, seeds, block_arcs)
     types = seeds.select("type_id").distinct()
     each = arcs.select("src", "dst", F.col("w").cast("long").alias("w")).crossJoin(F.broadcast(types))  # a row for each type of a run: tens
     left, right = each.groupBy("type_id"), seeds.toDF("type_id_", "node_id", "pid").groupBy("type_id_")

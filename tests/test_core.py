@@ -137,6 +137,30 @@ def test_shortest_paths(spark, method):
                 assert mine[r.next_hop].dist_ds + arcs[r.next_hop, n] == r.dist_ds and mine[r.next_hop].pid == r.pid
 
 
+def test_rounds_are_few_and_agree(spark, monkeypatch):
+    """On a long strip with many equal ways, in many blocks: the kernel's rows, in few rounds for 400 arcs from end to end."""
+    rng = np.random.default_rng(27)
+    at = [(x, y) for y in range(400) for x in range(4)]
+    pairs = [(4 * y + x, 4 * (y + b) + x + a) for x, y in at for a, b in ((1, 0), (0, 1)) if x + a < 4 and y + b < 400]
+    arcs = [(a, b, int(rng.integers(1, 3))) for p in pairs for a, b in (p, p[::-1]) if rng.random() < 0.95] + [(7, 5000, 1), (0, 4, 9)]
+    seeds = [("well", 3, 0), ("well", 41, 1), ("hut", 1590, 7), ("hut", 9000, 8)]
+    frame, start = spark.createDataFrame(arcs, "src long, dst long, w int"), spark.createDataFrame(seeds, "type_id string, node_id long, pid long")
+    stages = []
+
+    def counted(df, name):
+        stages.append(name)
+        assert len(stages) < 60, "too many rounds"
+        return write(df, name)
+
+    write = graph.write_stage
+    monkeypatch.setattr(graph, "write_stage", counted)
+    for block_arcs in (500, 100_000):
+        stages.clear()
+        found, want = ({tuple(r) for r in graph.shortest_paths(frame, start, *how).collect()} for how in (("rounds", block_arcs), ("kernel",)))
+        assert found == want and len(found) > 3000
+        assert stages.count("dist") < 30
+
+
 def test_sites(spark):
     """Sites are the components of places with alike names that lie close, whatever the type's other places."""
     rng = np.random.default_rng(25)
